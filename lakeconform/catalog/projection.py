@@ -29,11 +29,10 @@ DUCKDB_MONTHS = ("%Y-%m", "%Y/%m", "%B %Y")
 
 def _text(day: str, number: str, engine: str, spark: tuple, duckdb: tuple) -> str:
     """The day written in the format with the given number, counted from zero."""
-    if engine == "duckdb":
-        cases = " ".join(f"WHEN {n} THEN strftime({day}, '{f}')" for n, f in enumerate(duckdb))
-        return f"CASE {number} {cases} END"
-    formats = ", ".join(f"'{text}'" for text in spark)
-    return f"date_format({day}, element_at(array({formats}), CAST({number} AS int) + 1))"
+    formats = duckdb if engine == "duckdb" else spark
+    write = "strftime" if engine == "duckdb" else "date_format"
+    cases = " ".join(f"WHEN {n} THEN {write}({day}, '{f}')" for n, f in enumerate(formats))
+    return f"CASE {number} {cases} END"
 
 
 def text_date(day: str, key: str, engine: str) -> str:
@@ -202,13 +201,16 @@ def raw_frame(t: Callable[[str], DataFrame], name: str) -> DataFrame:
         again = _export(t("region").filter("r_regionkey = 0"), "locations_again")
         return _export(t("nation"), "locations").unionByName(again)
     if name == "team_membership":
-        staffed = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # Both sides grow with the data, so neither is ever broadcast.
+        staffed = t("lineitem").join(
+            t("orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+        )
         return _export(_with_copies(staffed, name), name)
     if name == "monthly_achievements":
         first = t("lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("l_partkey"))
         achieved = (
             t("orders")
-            .join(first, F.col("o_orderkey") == F.col("l_orderkey"))
+            .join(first.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
             .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         )
         return _export(_with_copies(achieved, name), name)

@@ -35,15 +35,14 @@ def normalize_email(
 ) -> Column:
     """Lower-case address with a repaired domain; null without an ``@``.
 
-    Only the text up to a second ``@`` counts. Written so that the input appears once:
-    Catalyst repeats an expression wherever a filter on its result is pushed down.
+    Only the text up to a second ``@`` counts.
     """
-    address = F.regexp_extract_all(F.lower(trimmed(value)), F.lit("^([^@]*@[^@]*)"), F.lit(1))
-    address = F.get(address, F.lit(0))
-    if not typos:
-        return address
-    wrong = "|".join(re.escape(domain) for domain in typos)
-    return F.regexp_replace(address, f"@({wrong})$", "@" + canonical.replace("$", r"\$"))
+    address = F.substring_index(F.lower(trimmed(value)), "@", 2)
+    repaired = address
+    if typos:
+        wrong = "|".join(re.escape(domain) for domain in typos)
+        repaired = F.regexp_replace(address, f"@({wrong})$", "@" + canonical.replace("$", r"\$"))
+    return F.when(F.contains(address, F.lit("@")), repaired)
 
 
 def email_domain(value: Column | str) -> Column:

@@ -31,15 +31,27 @@ def _rank(keys: Sequence[str], order: str) -> str:
 
 
 def keep_first(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = None,
+    where: str | None = None,
 ) -> DataFrame:
     """The first row of each key. ``order_by`` holds column names or SQL expressions.
 
     Only rank 1 is asked for, so Spark drops the losers of each input partition before the
     shuffle (WindowGroupLimit): a key with a third of all rows sends one row per partition.
+
+    Rows that fail ``where`` (a condition that is never unknown) stand behind all others and
+    are not kept. Filtering them out first would give the same rows, but Catalyst would push
+    that filter below the parsing it depends on and so parse everything twice.
     """
-    rank = _rank(keys, total_order(df, order_by or keys))
-    return df.selectExpr("*", f"{rank} AS _rank").filter("_rank = 1").drop("_rank")
+    order = total_order(df, order_by or keys)
+    if where is None:
+        ranked = df.selectExpr("*", f"{_rank(keys, order)} AS _rank")
+        return ranked.filter("_rank = 1").drop("_rank")
+    passing = df.selectExpr("*", f"({where}) AS _passes")
+    ranked = passing.selectExpr("*", f"{_rank(keys, f'_passes DESC, {order}')} AS _rank")
+    return ranked.filter("_rank = 1 AND _passes").drop("_rank", "_passes")
 
 
 def surplus_rows(

@@ -67,12 +67,15 @@ class Outcome:
         """The input with the names of the rules each row broke."""
         return self.df.withColumn(VIOLATIONS, violations(self.contract.errors))
 
+    @property
+    def passes(self) -> str:
+        """SQL condition of a valid row, never unknown."""
+        return " AND ".join(rule.holds for rule in self.contract.errors) or "true"
+
     @cached_property
     def valid(self) -> DataFrame:
-        """Filters on the plain conjunction of the rules: no arrays are built, and simple
-        conditions can reach the scan."""
-        rules = self.contract.errors
-        return self.df.filter(" AND ".join(rule.holds for rule in rules)) if rules else self.df
+        """Filters on the plain conjunction of the rules: no arrays are built."""
+        return self.df.filter(self.passes) if self.contract.errors else self.df
 
     @cached_property
     def invalid(self) -> DataFrame:

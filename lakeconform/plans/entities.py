@@ -60,7 +60,7 @@ class Conformed:
 
     @cached_property
     def kept(self) -> DataFrame:
-        return keep_first(self.outcome.valid, *self._key)
+        return keep_first(self.outcome.df, *self._key, where=self.outcome.passes)
 
     @cached_property
     def dropped(self) -> DataFrame:
