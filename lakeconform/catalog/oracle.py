@@ -515,7 +515,7 @@ _GOLD_STEPS = {
     "'verified against organisation reference data; ' || "
     "(SELECT CAST(coalesce(sum(teams_claiming_org_leader), 0) AS BIGINT) FROM gold_orgs) || "
     "' teams claim it in the source') q",
-    "run_metrics": "SELECT 'silver' AS layer, coalesce(team_name, '?') AS entity, "
+    "run_metrics": "SELECT 'silver' AS layer, team_name || ' ' || coalesce(month_key, '?') AS entity, "
     "count(*) AS rows_read, "
     "count(*) FILTER (reasons <> '') AS rows_quarantined, "
     "count(*) FILTER (reasons = '' AND impact_score IS NOT NULL) AS rows_written, "

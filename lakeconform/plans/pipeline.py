@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -165,9 +165,13 @@ def ingest(run: Run, source: Source, origin: Origin) -> dict:
 
 
 def run_bronze(
-    run: Run, origin: Origin, entities: Iterable[str] | None = None, route: str | None = None
+    run: Run,
+    origin: Origin,
+    entities: Iterable[str] | None = None,
+    route: str | None = None,
+    options: Mapping[str, object] | None = None,
 ) -> list[dict]:
-    return [ingest(run, source, origin) for source in select_sources(entities, route)]
+    return [ingest(run, source, origin) for source in select_sources(entities, route, options)]
 
 
 # Silver
@@ -421,6 +425,7 @@ def run_pipeline(
     batch_id: str | None = None,
     ingest_date: str | None = None,
     route: str | None = None,
+    options: Mapping[str, object] | None = None,
 ) -> RunReport:
     """Run the wanted stages in order, write the manifest and apply the gates.
 
@@ -444,7 +449,7 @@ def run_pipeline(
         dry_run,
     )
     steps: dict[str, Callable[[], list[dict]]] = {
-        "bronze": lambda: run_bronze(run, origin, entities, route),
+        "bronze": lambda: run_bronze(run, origin, entities, route, options),
         "silver": lambda: run_silver(run, entities),
         "gold": lambda: run_gold(run),
     }

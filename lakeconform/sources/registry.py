@@ -22,7 +22,7 @@ class Source:
     route: str
     key: tuple[str, ...]
     watermark: str | None = None
-    options: Mapping[str, str] = field(default_factory=dict)
+    options: Mapping[str, object] = field(default_factory=dict)
 
     @property
     def name(self) -> str:
@@ -79,12 +79,20 @@ def get_source(entity: str) -> Source:
 
 
 def select_sources(
-    entities: Iterable[str] | None = None, route: str | None = None
+    entities: Iterable[str] | None = None,
+    route: str | None = None,
+    options: Mapping[str, object] | None = None,
 ) -> tuple[Source, ...]:
-    """The wanted sources in registered order, all by default; ``route`` overrides theirs."""
+    """The wanted sources in registered order, all by default.
+
+    ``route`` overrides theirs, and ``options`` are merged over their reader options.
+    """
     wanted = None if entities is None else {get_source(name).entity for name in entities}
-    chosen = tuple(s for s in SOURCES if wanted is None or s.entity in wanted)
-    return tuple(replace(s, route=route) for s in chosen) if route else chosen
+    return tuple(
+        replace(s, route=route or s.route, options={**s.options, **(options or {})})
+        for s in SOURCES
+        if wanted is None or s.entity in wanted
+    )
 
 
 @dataclass(frozen=True)
