@@ -46,7 +46,7 @@ from lakeconform.sources.registry import get_source
 SETTINGS = Settings(as_of=date(2024, 2, 1))
 ENTITIES = tuple(sql.KEYS)
 # Metric rows with a tolerance of their own.
-EXCEPTIONS = {"azure azure 1995-01": 0.9, "azure blue 1996-05": 0.05}
+EXCEPTIONS = {"red widget 1995-01": 0.9, "blue bolt 1996-05": 0.05}
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -9,7 +9,8 @@ from pyspark.sql.types import MapType
 
 from lakeconform.operators.quality import mark_rejected
 
-DEFAULT_SLICES = 64
+# Enough to cut a key that holds a third of 100 TB into pieces one task can sort.
+DEFAULT_SLICES = 4096
 
 
 def _sortable(df: DataFrame) -> list[str]:
@@ -46,12 +47,11 @@ def keep_first(
     that filter below the parsing it depends on and so parse everything twice.
     """
     order = total_order(df, order_by or keys)
-    if where is None:
-        ranked = df.selectExpr("*", f"{_rank(keys, order)} AS _rank")
-        return ranked.filter("_rank = 1").drop("_rank")
-    passing = df.selectExpr("*", f"({where}) AS _passes")
-    ranked = passing.selectExpr("*", f"{_rank(keys, f'_passes DESC, {order}')} AS _rank")
-    return ranked.filter("_rank = 1 AND _passes").drop("_rank", "_passes")
+    wanted = "_rank = 1"
+    if where is not None:
+        order = f"({where}) DESC, {order}"
+        wanted = f"_rank = 1 AND ({where})"
+    return df.selectExpr("*", f"{_rank(keys, order)} AS _rank").filter(wanted).drop("_rank")
 
 
 def surplus_rows(

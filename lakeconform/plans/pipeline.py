@@ -51,6 +51,7 @@ from lakeconform.sources.registry import (
     conformed_name,
     get_source,
     read_source,
+    seed_staging,
     select_sources,
 )
 
@@ -171,7 +172,15 @@ def run_bronze(
     route: str | None = None,
     options: Mapping[str, object] | None = None,
 ) -> list[dict]:
-    return [ingest(run, source, origin) for source in select_sources(entities, route, options)]
+    """Every wanted source. Empty staging tables are filled from their exports first; if that
+    fails, the sources read from them fail one by one and the others go on."""
+    sources = select_sources(entities, route, options)
+    if origin.jdbc_url is not None and not run.dry_run:
+        try:
+            seed_staging(run.spark, sources, origin)
+        except Exception:  # noqa: BLE001
+            log.exception("staging tables could not be filled")
+    return [ingest(run, source, origin) for source in sources]
 
 
 # Silver

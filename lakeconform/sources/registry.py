@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeconform.sources.files import read_file
-from lakeconform.sources.jdbc import read_jdbc
+from lakeconform.sources.jdbc import read_jdbc, seed_if_empty
 
 
 @dataclass(frozen=True)
@@ -97,12 +97,17 @@ def select_sources(
 
 @dataclass(frozen=True)
 class Origin:
-    """Where exports lie (``raw_root``) and how to reach the staging tables."""
+    """Where exports lie (``raw_root``) and how to reach the staging tables.
+
+    ``jdbc_ranges`` gives ``(column, (low, high), partitions)`` per entity; a table without
+    one is read by a single connection.
+    """
 
     raw_root: str
     jdbc_url: str | None = None
     jdbc_schema: str = "staging"
     jdbc_properties: Mapping[str, str] = field(default_factory=dict)
+    jdbc_ranges: Mapping[str, tuple[str, tuple, int]] = field(default_factory=dict)
 
     def file_path(self, source: Source) -> str:
         return f"{self.raw_root}/{source.system}/{source.file_name}"
@@ -117,11 +122,15 @@ def _from_file(spark: SparkSession, source: Source, origin: Origin) -> tuple[Dat
 
 
 def _from_jdbc(spark: SparkSession, source: Source, origin: Origin) -> tuple[DataFrame, str]:
+    table, ranges = origin.table(source), origin.jdbc_ranges.get(source.entity, ())
+    url = _jdbc_url(source, origin)
+    return read_jdbc(spark, url, table, *ranges, properties=origin.jdbc_properties), f"jdbc:{table}"
+
+
+def _jdbc_url(source: Source, origin: Origin) -> str:
     if origin.jdbc_url is None:
         raise ValueError(f"{source.name} is read over JDBC but no URL is set")
-    table = origin.table(source)
-    df = read_jdbc(spark, origin.jdbc_url, table, properties=origin.jdbc_properties)
-    return df, f"jdbc:{table}"
+    return origin.jdbc_url
 
 
 READERS: dict[str, Callable[[SparkSession, Source, Origin], tuple[DataFrame, str]]] = {
@@ -135,3 +144,21 @@ def read_source(spark: SparkSession, source: Source, origin: Origin) -> tuple[Da
     if source.route not in READERS:
         raise ValueError(f"unknown route {source.route!r} for {source.name}")
     return READERS[source.route](spark, source, origin)
+
+
+def seed_staging(
+    spark: SparkSession, sources: Iterable[Source], origin: Origin, force: bool = False
+) -> dict[str, int]:
+    """Fill the staging tables of JDBC-routed sources from their exports, where empty.
+
+    Returns rows written per entity; 0 where the table already had rows.
+    """
+    seeded = {}
+    for source in sources:
+        if source.route == "jdbc":
+            url = _jdbc_url(source, origin)
+            export, _ = _from_file(spark, source, origin)
+            seeded[source.entity] = seed_if_empty(
+                export, url, origin.table(source), force, origin.jdbc_properties
+            )
+    return seeded

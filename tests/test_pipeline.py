@@ -159,8 +159,12 @@ def test_rerun_gives_the_same_tables_and_appends_a_manifest(spark, home, origin)
         }
 
     before = tables()
-    run(spark, home, origin, batch_id="b2")
+    real = by_entity(run(spark, home, origin, batch_id="b2"))
     assert tables() == before
+    dry = by_entity(run(spark, home, origin, dry_run=True))
+    assert {k: (r.rows_read, r.rows_written, r.rows_quarantined) for k, r in dry.items()} == {
+        k: (r.rows_read, r.rows_written, r.rows_quarantined) for k, r in real.items()
+    }
     manifest = spark.read.parquet(home.manifest())
     assert rows_of(manifest.groupBy("batch_id").count()) == [("b1", 24), ("b2", 24)]
     assert gates.run_summary(manifest).filter("reconciliation = 'OK'").count() == 48
@@ -182,15 +186,6 @@ def test_entities_stages_and_dry_run(spark, home, origin):
         read_silver(spark, home, "teams")
 
 
-def test_dry_run_over_everything(spark, home, origin):
-    run(spark, home, origin, batch_id="b1")
-    dry = by_entity(run(spark, home, origin, dry_run=True))
-    real = by_entity(run(spark, home, origin))
-    assert {k: (r.rows_read, r.rows_written, r.rows_quarantined) for k, r in dry.items()} == {
-        k: (r.rows_read, r.rows_written, r.rows_quarantined) for k, r in real.items()
-    }
-
-
 def test_one_missing_export_fails_alone(spark, home, origin, tmp_path):
     (tmp_path / "raw" / "facilities" / "locations.csv").unlink()
     rows = by_entity(run(spark, home, origin, stages=["bronze", "silver"]))
@@ -204,6 +199,7 @@ def test_nothing_works_ends_the_run(spark, home, tmp_path):
     assert {r.layer for r in report.metrics.collect()} == {"bronze"}
     goes_on = run(spark, home, Origin(str(tmp_path / "empty")), continue_on_error=True)
     assert {r.layer for r in goes_on.metrics.collect()} == {"bronze", "silver", "gold"}
+    assert not goes_on.passed
 
 
 def test_drift_quarantines_the_feed(spark, home, origin, monkeypatch):

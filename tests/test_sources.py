@@ -3,7 +3,8 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from lakeconform.operators.snapshots import incremental, latest_snapshot, next_watermark
-from lakeconform.sources import jdbc, lake
+from lakeconform.functions import parse_date
+from lakeconform.sources import jdbc, lake, registry
 from lakeconform.sources.files import describe_frame, read_csv_raw, read_file, read_json_raw, stringify_all
 from lakeconform.sources.registry import (
     SOURCES,
@@ -67,6 +68,38 @@ def test_registry(spark, tmp_path):
         read_source(spark, get_source("employees"), Origin(str(tmp_path)))
 
 
+def test_staging_tables_are_filled_once(spark, tmp_path, monkeypatch):
+    """No database here: reading and writing over JDBC are stood in for by a dict."""
+    folder = tmp_path / "facilities"
+    folder.mkdir()
+    (folder / "locations.csv").write_text("location_code,city\nLOC-1,Oslo\nLOC-2,Austin\n")
+    tables, asked = {}, []
+
+    def write(df, url, table, mode="overwrite", properties=None):
+        assert {kind for _, kind in df.dtypes} == {"string"}
+        tables[table] = df
+
+    def read(spark, url, table, *ranges, properties=None):
+        asked.append(ranges)
+        return tables[table]
+
+    def count(spark, url, table, properties=None):
+        return tables[table].count() if table in tables else 0
+
+    monkeypatch.setattr(jdbc, "write_jdbc", write)
+    monkeypatch.setattr(jdbc, "count_rows", count)
+    monkeypatch.setattr(registry, "read_jdbc", read)
+    ranges = {"locations": ("id", (0, 9), 2)}
+    origin = Origin(str(tmp_path), "jdbc:x", jdbc_ranges=ranges)
+    sources = select_sources(["locations", "teams"])
+    assert registry.seed_staging(spark, sources, origin) == {"locations": 2}
+    assert registry.seed_staging(spark, sources, origin) == {"locations": 0}
+    assert registry.seed_staging(spark, sources, origin, force=True) == {"locations": 2}
+    df, place = read_source(spark, sources[0], origin)
+    assert (df.count(), place) == (2, "jdbc:staging.locations")
+    assert asked == [("id", (0, 9), 2)]
+
+
 def test_bronze_rerun_replaces_one_date(spark, tmp_path):
     home, source = lake.Lake(str(tmp_path)), get_source("teams")
 
@@ -119,8 +152,6 @@ def test_settled_tables_go_to_the_shared_folder(spark, tmp_path):
 
 def test_incremental(spark):
     df = spark.createDataFrame([("2024-01-01",), ("02/03/2024",), ("junk",)], "d string")
-    from lakeconform.functions import parse_date
-
     new = incremental(df, "d", F.lit("2024-01-15").cast("date"), parse_date)
     assert rows_of(new) == [("02/03/2024",)]
     assert str(next_watermark(df, "d", parse_date).first()[0]) == "2024-02-03"
