@@ -68,10 +68,9 @@ EXPORTS = {
 }
 
 
-@pytest.fixture
-def origin(tmp_path):
+def write_exports(root):
     for source in SOURCES:
-        folder = tmp_path / "raw" / source.system
+        folder = root / source.system
         folder.mkdir(parents=True, exist_ok=True)
         rows = EXPORTS[source.entity]
         path = folder / source.file_name
@@ -82,7 +81,12 @@ def origin(tmp_path):
                 writer = csv.DictWriter(f, rows[0].keys())
                 writer.writeheader()
                 writer.writerows(rows)
-    return Origin(str(tmp_path / "raw"))
+    return Origin(str(root))
+
+
+@pytest.fixture
+def origin(tmp_path):
+    return write_exports(tmp_path / "raw")
 
 
 @pytest.fixture
@@ -90,6 +94,14 @@ def home(tmp_path):
     return Lake(str(tmp_path / "lake"))
 
 
+@pytest.fixture(scope="module")
+def first(spark, tmp_path_factory):
+    """One full run that several tests look at: lake, origin and report."""
+    root = tmp_path_factory.mktemp("full")
+    lake, exports = Lake(str(root / "lake")), write_exports(root / "raw")
+    return lake, exports, run(spark, lake, exports, batch_id="b1")
+
+
 def run(spark, home, origin, **options):
     return run_pipeline(
         spark, home, origin, SETTINGS, route="file", ingest_date="2024-02-01", **options
@@ -100,8 +112,8 @@ def by_entity(report):
     return {(r.layer, r.entity): r for r in report.metrics.collect()}
 
 
-def test_full_run(spark, home, origin):
-    report = run(spark, home, origin, batch_id="b1")
+def test_full_run(spark, first):
+    home, _, report = first
     rows = by_entity(report)
     assert len(rows) == 7 + 8 + 9
     assert {r.status for r in rows.values()} == {"SUCCESS"}
@@ -148,8 +160,8 @@ def test_full_run(spark, home, origin):
     assert insights.n18_dataset_inventory(gold).count() == 9
 
 
-def test_rerun_gives_the_same_tables_and_appends_a_manifest(spark, home, origin):
-    run(spark, home, origin, batch_id="b1")
+def test_rerun_gives_the_same_tables_and_appends_a_manifest(spark, first):
+    home, origin, _ = first
 
     def tables():
         kept = ["_batch_id", "_processed_at", "_ingested_at"]
