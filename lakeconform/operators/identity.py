@@ -77,7 +77,8 @@ def dominant_value(
 
     Both steps are partial aggregates: no window and no task holds a whole group.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(*group, value).agg(F.count("*").alias("_n"))
     best = counts.groupBy(*group).agg(F.min(F.struct((-F.col("_n")).alias("_rarity"), F.col(value))).alias("_best"))
     return best.select(
         *group,
