@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakeconform.catalog import queries as catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = catalog.queries(), catalog.oracle_sql()
 # One query per kind of work; each of them runs the steps of many others.
 CHOSEN = (
     "normalize_email",
@@ -48,6 +49,8 @@ def duck():
 def test_every_query_has_its_check():
     assert QUERIES.keys() == CHECKS.keys()
     assert len(QUERIES) > 100
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert CHECKS.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
