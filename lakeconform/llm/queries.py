@@ -7,12 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeconform.llm import bpe, sharding
+from lakeconform.llm import bpe, decontaminate, ngram_join, ownership, sharding
 from lakeconform.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ownership.digest(ownership.find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.alike_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -23,7 +37,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op9_feistel_sharding, op10_bpe)
+    found = (
+        op2_ownership,
+        op4_simhash_decontamination,
+        op7_ngram_join,
+        op9_feistel_sharding,
+        op10_bpe,
+    )
     return {query.__name__: query for query in found}
 
 
