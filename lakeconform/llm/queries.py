@@ -7,16 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeconform.llm import bpe, decontaminate, ngram_join, ownership, sharding
+from lakeconform.llm import bpe, decontaminate, importance, ngram_join, ownership, quality_rules, sharding
 from lakeconform.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op2_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.digest(ownership.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ).select("doc_id", "score", "key", "kept")
+
+
 def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -38,7 +48,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
+        op1_quality_cascade,
         op2_ownership,
+        op3_importance_resampling,
         op4_simhash_decontamination,
         op7_ngram_join,
         op9_feistel_sharding,
