@@ -14,15 +14,18 @@ computed, exactly:
 * For the remaining pairs the overlap is accumulated over all columns, block by block.
 
 A group of near copies would still give every pair of its members. So the product is taken in
-two rounds. First each column's rows are multiplied with one row of about their size, which
-gives at most one pair per entry; the links found form components. Then only pairs in different
+two rounds. First each column's rows are multiplied with one row of about their size, and each
+row keeps one partner; the links found form components. Then only pairs in different
 components are multiplied: those in the same one are joined already, whatever their overlap.
+Their overlaps over the kept columns are summed, and pairs that the columns left out could not
+bring to the threshold are discarded.
 After it every two rows that share a column are known to be linked, unlike, or in one component,
 so the components are exact.
 
 Shingles are 64-bit hashes, sets of them 128-bit digests. Null texts and texts without words
 are empty and linked with nothing. Rows with one id and different texts are separate documents;
-null ids are not the smallest of a component that has others. Very long texts are whole.
+null ids are not the smallest of a component that has others. Very long texts are whole. The
+table must be stored (read from files), as it is read several times by row position.
 """
 
 from __future__ import annotations
@@ -58,6 +61,11 @@ def _sets(batch: pa.RecordBatch, column: str, width: int) -> Iterator[tuple[int,
         yield a, b, [np.unique(found.hashes[i:j]) for i, j in zip(found.rows, found.rows[1:], strict=False)]
 
 
+def positioned(docs: DataFrame) -> DataFrame:
+    """Ids and texts with the row's position in the stored table."""
+    return docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+
+
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     """The most frequent shingles of the corpus, most frequent last; at most ``FREQUENT``.
 
@@ -111,19 +119,19 @@ def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
-                        batch.column("text_key").slice(a, b - a),
+                        batch.column("_row").slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(digests, pa.binary()),
                         *[pa.array(packed[:, k]) for k in range(4)],
                         pa.array(prefixes, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "text_key", "n", "set_key", *SIGNS, "prefix"],
+                    names=["doc_id", "_row", "n", "set_key", *SIGNS, "prefix"],
                 )
 
-    picked = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    picked = positioned(docs)
     kind = picked.schema["doc_id"].dataType.simpleString()
     signs = ", ".join(f"{s} bigint" for s in SIGNS)
-    schema = f"doc_id {kind}, text_key bigint, n bigint, set_key binary, {signs}, prefix array<bigint>"
+    schema = f"doc_id {kind}, _row bigint, n bigint, set_key binary, {signs}, prefix array<bigint>"
     return picked.mapInArrow(run, schema)
 
 
@@ -155,17 +163,61 @@ def _possible(percent: int) -> Column:
     )
 
 
-def _pairs(joined: DataFrame, percent: int) -> DataFrame:
-    """Distinct possible pairs ``a < b`` of a frame with row structs ``x`` and ``y``."""
-    return (
-        joined.filter("x.rid <> y.rid")
+def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
+def first_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """At most one partner for each row: the one it shares most columns with.
+
+    The candidates are one row per column and band of sizes. Partners that share less than a
+    hundredth of the columns are left to the second round, which misses none.
+    """
+    partner = entries.groupBy("key", "band").agg(F.min("x").alias("y"))
+    shared = (
+        enrich(entries, partner, ["key", "band"])
+        .filter("x.rid <> y.rid")
         .filter(_possible(percent))
-        .select(
-            F.least("x.rid", "y.rid").alias("a"),
-            F.greatest("x.rid", "y.rid").alias("b"),
-        )
-        .distinct()
+        .groupBy(F.col("x.rid").alias("rid"), F.col("x.n").alias("n"), F.col("y.rid").alias("other"))
+        .agg(F.count("*").alias("votes"))
+        .filter("100 * votes >= n")
     )
+    best = shared.groupBy("rid").agg(F.max(F.struct("votes", "other")).alias("best"))
+    return _ordered(best, "rid", "best.other").distinct()
+
+
+def second_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """The pairs of rows in different components that their overlap so far leaves possible.
+
+    ``mixed`` holds the entries of the columns that rows of several components share, each with
+    its ``root`` and the column's most frequent root ``main``. A pair is taken once per column:
+    at least one of the two is not of the main root. The columns kept per row are its first in
+    the common order, so behind the counted ones at most ``n - ceil(t n) + 1`` fewer than ``n``
+    can follow in one of the two.
+    """
+    strays = mixed.filter("root <> main").select("key", "x", "root")
+    others = mixed.select(
+        F.col("key").alias("k"),
+        F.col("x").alias("y"),
+        F.col("root").alias("r"),
+        (F.col("root") != F.col("main")).alias("stray"),
+    )
+    met = strays.join(
+        others,
+        (F.col("key") == F.col("k"))
+        & (F.col("root") != F.col("r"))
+        & F.expr("NOT stray OR x.rid < y.rid")
+        & _possible(percent),
+    )
+    counted = met.groupBy(
+        F.least("x.rid", "y.rid").alias("a"),
+        F.greatest("x.rid", "y.rid").alias("b"),
+        (F.col("x.n") + F.col("y.n")).alias("both"),
+        F.greatest("x.n", "y.n").alias("larger"),
+    ).agg(F.count("*").alias("shared"))
+    rest = f"({percent} * larger + 99) div 100 - 1"
+    bound = f"{100 + percent} * (shared + {rest}) >= {percent} * both"
+    return counted.filter(bound).select("a", "b")
 
 
 def linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -175,11 +227,8 @@ def linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, perce
     pairs it is in.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    wanted = stored(wanted.join(rows.select("rid", "doc_id", "text_key"), "rid"), "ngram-wanted")
-    texts = docs.select(
-        F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.col("text").alias("text")
-    )
-    found = texts.join(narrow(wanted), F.expr("_id <=> doc_id AND _key = text_key"))
+    wanted = stored(wanted.join(rows.select("rid", "_row"), "rid"), "ngram-wanted")
+    found = positioned(docs).join(narrow(wanted), "_row")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,7 +239,7 @@ def linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, perce
                 )
 
     sets = found.select("rid", "text").mapInArrow(shingle, "rid bigint, shingles binary")
-    sets = stored(sets.dropDuplicates(["rid"]), "ngram-sets")
+    sets = stored(sets, "ngram-sets")
     both = enrich(pairs, sets.withColumnsRenamed({"shingles": "left"}), {"a": "rid"})
     both = enrich(both, sets.withColumnsRenamed({"shingles": "right"}), {"b": "rid"})
 
@@ -256,9 +305,9 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
             F.first("prefix").alias("prefix"),
             *signs,
             F.min("doc_id").alias("least_id"),
-            F.min(F.struct("doc_id", "text_key")).alias("one"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("one"),
         )
-        .select("set_key", "n", "prefix", *SIGNS, "least_id", "one.doc_id", "one.text_key")
+        .select("set_key", "n", "prefix", *SIGNS, "least_id", "one", "one._row")
     )
     rows = stored(rows.withColumn("rid", F.monotonically_increasing_id()), "ngram-sets-distinct")
     thin = rows.select("rid", "n", F.posexplode("prefix").alias("at", "key"))
@@ -269,12 +318,9 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
     entries = stored(
         entries.select("key", band, F.struct("rid", "n", "at", *SIGNS).alias("x")), "ngram-entries"
     )
-    # First round: one partner of about the same size per column.
-    partner = entries.groupBy("key", "band").agg(F.min("x").alias("y"))
-    pairs = stored(_pairs(enrich(entries, partner, ["key", "band"]), percent), "ngram-pairs")
+    pairs = stored(first_pairs(entries, percent), "ngram-pairs")
     links = stored(linked(pairs, rows, docs, width, percent), "ngram-links")
     roots = components(links)
-    # Second round: pairs of different components.
     labels = roots.withColumnsRenamed({"rid": "_rid", "root": "_root"})
     placed = enrich(entries.withColumn("rid", F.col("x.rid")), labels, {"rid": "_rid"})
     placed = placed.select("key", "x", F.coalesce("_root", "rid").alias("root"))
@@ -284,18 +330,13 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
     )
     mixed = enrich(placed, main, ["key"]).filter("roots > 1")
     mixed = stored(mixed.select("key", "x", "root", F.col("most.root").alias("main")), "ngram-mixed")
-    strays = mixed.filter("root <> main").select("key", "x", "root")
-    others = mixed.select(F.col("key").alias("k"), F.col("x").alias("y"), F.col("root").alias("r"))
-    more = _pairs(
-        strays.join(others, (F.col("key") == F.col("k")) & (F.col("root") != F.col("r")) & _possible(percent)),
-        percent,
-    )
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "ngram-pairs")
+    more = second_pairs(mixed, percent).join(pairs, ["a", "b"], "left_anti")
+    more = stored(more, "ngram-pairs")
     more_links = linked(more, rows, docs, width, percent)
     roots = components(stored(links.union(more_links), "ngram-links"))
     labelled = enrich(
-        rows.select("set_key", "rid", "least_id"), roots.withColumnsRenamed({"rid": "_rid"}), {"rid": "_rid"}
-    ).select("set_key", F.coalesce("root", "rid").alias("root"), "least_id")
+        rows.select("set_key", "rid", "least_id", "one"), roots.withColumnsRenamed({"rid": "_rid"}), {"rid": "_rid"}
+    ).select("set_key", F.coalesce("root", "rid").alias("root"), "least_id", "one")
     return table, stored(labelled, "ngram-classes")
 
 
@@ -309,3 +350,16 @@ def alike_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, that of the smallest id; all columns are kept."""
+    table, labelled = classes(docs, width, percent)
+    stays = labelled.groupBy("root").agg(F.min("one").alias("stays"))
+    by_set = enrich(labelled.select("set_key", "root"), stays, ["root"]).select(
+        "set_key", F.col("stays._row").alias("stays")
+    )
+    goes = enrich(table.select("_row", "set_key"), by_set, ["set_key"]).filter("_row <> stays")
+    goes = stored(goes.select("_row"), "ngram-goes")
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.join(narrow(goes), "_row", "left_anti").drop("_row")
