@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeconform.llm import bpe, decontaminate, importance, ngram_join, ownership, quality_rules, sharding
+from lakeconform.llm import (
+    bpe,
+    decontaminate,
+    importance,
+    line_dedup,
+    ngram_join,
+    ownership,
+    pii,
+    quality_rules,
+    sharding,
+    warc,
+)
 from lakeconform.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +35,7 @@ def op2_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    ).select("doc_id", "score", "key", "kept")
+    )
 
 
 def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +44,23 @@ def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", "kept", "text")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal(table(spark, sf_dir, "documents")))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.alike_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -47,16 +71,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    import corpus_pipeline
+
     found = (
         op1_quality_cascade,
         op2_ownership,
         op3_importance_resampling,
         op4_simhash_decontamination,
+        op5_line_dedup,
+        op6_pii,
         op7_ngram_join,
+        op8_warc,
         op9_feistel_sharding,
         op10_bpe,
     )
-    return {query.__name__: query for query in found}
+    named = {query.__name__: query for query in found}
+    return named | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
