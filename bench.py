@@ -77,7 +77,6 @@ def full_run(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
         Origin(f"{work}/raw"),
         Settings(as_of=date(2024, 2, 1)),
         route="file",
-        options={"multiline": False},
     )
     total = time.perf_counter() - started
     stages = report.metrics.groupBy("layer").sum("duration_s", "rows_read").collect()

@@ -36,25 +36,24 @@ def unique_candidates(memberships: DataFrame, teams: DataFrame) -> DataFrame:
 
 def attribute_unique(facts: DataFrame, memberships: DataFrame, teams: DataFrame) -> DataFrame:
     """Add ``team_id`` and ``team_id_origin`` to facts with ``source_team_id``,
-    ``reported_by`` and ``team_name``. Row count and order of columns are kept."""
-    # Facts that already name their team need no match; a null reporter keeps them out.
-    asked = facts.withColumn(
-        "_reporter", F.when(F.col("source_team_id").isNull(), F.col("reported_by"))
+    ``reported_by`` and ``team_name``. Row count and order of columns are kept.
+
+    Facts that already name their team pass by the join and are not shuffled.
+    """
+    own = [F.col(name) for name in facts.columns]
+    named = facts.filter("source_team_id IS NOT NULL").select(
+        *own, F.col("source_team_id").alias("team_id"), F.lit(SOURCE).alias("team_id_origin")
     )
     matched = enrich(
-        asked,
+        facts.filter("source_team_id IS NULL"),
         unique_candidates(memberships, teams),
-        {"_reporter": "employee_email", "team_name": "team_name"},
-    )
-    origin = (
-        F.when(F.col("source_team_id").isNotNull(), SOURCE)
-        .when(F.col("candidate_team_id").isNotNull(), RESOLVED)
-        .otherwise(UNRESOLVED)
+        {"reported_by": "employee_email", "team_name": "team_name"},
     )
-    return matched.select(
-        *[F.col(name) for name in facts.columns],
-        F.coalesce("source_team_id", "candidate_team_id").alias("team_id"),
-        origin.alias("team_id_origin"),
+    origin = F.when(F.col("candidate_team_id").isNotNull(), RESOLVED).otherwise(UNRESOLVED)
+    return named.unionAll(
+        matched.select(
+            *own, F.col("candidate_team_id").alias("team_id"), origin.alias("team_id_origin")
+        )
     )
 
 

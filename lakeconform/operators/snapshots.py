@@ -13,17 +13,17 @@ def latest_snapshot(
 ) -> DataFrame:
     """Rows of the requested snapshot if it exists, else of the newest; the column is dropped.
 
-    The choice is a scalar subquery over the snapshot column. On a partitioned table Spark
-    resolves it first and then lists only the chosen partition.
+    The choice is a scalar subquery over the snapshot column, in the column's own type. It
+    reads that column of every row; for a table partitioned by it, take the dates from the
+    folder names instead (``sources.lake.snapshot_dates``).
     """
     if column not in df.columns:
         return df
-    day = F.col(column).cast("string")
+    day = F.col(column)
     chosen = F.max(day)
     if requested is not None:
-        chosen = F.coalesce(F.max(F.when(day == requested, day)), chosen)
-    newest = df.select(column).agg(chosen).scalar()
-    return df.filter(F.col(column) == newest.cast(df.schema[column].dataType)).drop(column)
+        chosen = F.coalesce(F.max(F.when(day.cast("string") == requested, day)), chosen)
+    return df.filter(day == df.select(column).agg(chosen).scalar()).drop(column)
 
 
 def incremental(

@@ -30,7 +30,12 @@ from lakeconform.functions import (
 )
 from lakeconform.operators.attribution import attribute_unique
 from lakeconform.operators.dedup import duplicates, keep_first
-from lakeconform.operators.quality import Outcome, outcome_totals, validate
+from lakeconform.operators.quality import (
+    Outcome,
+    SchemaDriftError,
+    outcome_totals,
+    validate,
+)
 from lakeconform.plans.contracts import get_contract
 from lakeconform.settings import Settings
 
@@ -204,6 +209,39 @@ def normalize_achievements(
     return attribute_unique(facts, memberships, teams).drop("source_team_id")
 
 
+# The raw columns that each normaliser reads. A feed of achievements may lack ``team_id``.
+RAW_COLUMNS = {
+    "locations": ("location_code", "city", "country", "region", "timezone"),
+    "organizations": ("org_id", "org_name", "org_leader_email"),
+    "employees": (
+        "emp_id", "full_name", "email", "department", "location_code", "employment_type",
+        "manager_emp_id", "hire_date", "status",
+    ),
+    "contractors": (
+        "contractor_id", "full_name", "email", "agency", "location_code", "engagement_type",
+        "start_date", "end_date", "status",
+    ),
+    "teams": (
+        "team_id", "team_name", "organization", "team_leader_email", "primary_office",
+        "reports_to_type", "reporting_manager_email", "formed_date",
+    ),
+    "team_membership": (
+        "team_code", "employee_email", "role", "allocation_pct", "start_date", "end_date",
+    ),
+    "achievements": ("team_name", "month", "title", "category", "impact_score", "reported_by"),
+}
+
+
+def check_raw(raw: DataFrame, entity: str) -> None:
+    """Raise if a feed has lost a column. To be asked before normalising, whose result always
+    has every column."""
+    missing = [name for name in RAW_COLUMNS[entity] if name not in raw.columns]
+    if missing:
+        raise SchemaDriftError(
+            f"{entity}: missing raw columns {missing}; present {sorted(raw.columns)}"
+        )
+
+
 NORMALIZERS = {
     "locations": normalize_locations,
     "organizations": normalize_organizations,

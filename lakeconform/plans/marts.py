@@ -75,20 +75,21 @@ def member_spread(members: DataFrame) -> DataFrame:
     """Per team: size, where its members are, and where most of them are.
 
     Counted first per team and place, so that a large team is reduced before the shuffle
-    and everything per team comes out of one small second step.
+    and everything per team comes out of one small second step. A place has one country and one
+    region, so their maximum is theirs and the first step is a plain hash aggregate.
     """
     code = F.col("person_location_code")
     per_place = members.groupBy("team_id", code).agg(
         F.count("*").alias("_n"),
-        F.collect_set("person_country").alias("_countries"),
-        F.collect_set("person_region").alias("_regions"),
+        F.max("person_country").alias("_country"),
+        F.max("person_region").alias("_region"),
     )
     best = F.min(F.when(code.isNotNull(), F.struct((-F.col("_n")).alias("_rarity"), code)))
     return per_place.groupBy("team_id").agg(
         F.sum("_n").alias("member_count"),
         F.count(code).alias("distinct_member_locations"),
-        _union_of("_countries").alias("member_countries"),
-        _union_of("_regions").alias("member_regions"),
+        F.array_sort(F.collect_set("_country")).alias("member_countries"),
+        F.array_sort(F.collect_set("_region")).alias("member_regions"),
         best.alias("_best"),
     ).select(
         "team_id",
@@ -106,8 +107,13 @@ def _union_of(sets: str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_set(sets))))
 
 
-def team_locations(teams: DataFrame, locations: DataFrame, members: DataFrame) -> DataFrame:
-    """Per team: its registered office, and where its people are."""
+def team_locations(
+    teams: DataFrame, locations: DataFrame, members: DataFrame, spread: DataFrame | None = None
+) -> DataFrame:
+    """Per team: its registered office, and where its people are.
+
+    ``spread`` is ``member_spread(members)`` where it is at hand.
+    """
     office = locations.select(
         "location_code",
         F.col("city").alias("office_city"),
@@ -118,7 +124,7 @@ def team_locations(teams: DataFrame, locations: DataFrame, members: DataFrame) -
     base = teams.select("team_id", "team_name", "org_id", "org_name", "primary_office")
     return (
         enrich(base, office, {"primary_office": "location_code"})
-        .join(member_spread(members), "team_id", "left")
+        .join(member_spread(members) if spread is None else spread, "team_id", "left")
         .withColumn(
             "is_distributed", F.coalesce(F.col("distinct_member_locations"), F.lit(0)) > 1
         )
@@ -132,13 +138,14 @@ def team_locations(teams: DataFrame, locations: DataFrame, members: DataFrame) -
 def monthly_achievements(achievements: DataFrame, teams: DataFrame) -> DataFrame:
     """Per team and month: counts, score means and totals, categories.
 
-    Facts are summed per team id, own team name and month before they meet the teams, so
-    the join handles team-months instead of facts.
+    Facts are summed per team id, own team name, month and category by plain hash aggregates,
+    then per month with their categories, before they meet the teams: the join handles
+    team-months instead of facts.
     """
     numeric = F.when(F.col("impact_source_type") == "NUMERIC", F.col("impact_score"))
-    partial = (
+    per_category = (
         achievements.withColumnRenamed("team_name", "a_name")
-        .groupBy("team_id", "a_name", "month_key")
+        .groupBy("team_id", "a_name", "month_key", "category")
         .agg(
             F.count("*").alias("n"),
             F.sum(numeric).alias("numeric_sum"),
@@ -146,11 +153,16 @@ def monthly_achievements(achievements: DataFrame, teams: DataFrame) -> DataFrame
             F.sum("impact_score").alias("score_sum"),
             F.count("impact_score").alias("score_n"),
             F.max("impact_score").alias("score_max"),
-            F.collect_set("category").alias("sets"),
             F.count_if(F.col("impact_source_type") == "BAND").alias("banded"),
             F.count_if(F.col("team_id_origin") == RESOLVED).alias("resolved"),
         )
     )
+    summed = ("n", "numeric_sum", "numeric_n", "score_sum", "score_n", "banded", "resolved")
+    partial = per_category.groupBy("team_id", "a_name", "month_key").agg(
+        *[F.sum(name).alias(name) for name in summed],
+        F.max("score_max").alias("score_max"),
+        F.collect_set("category").alias("sets"),
+    )
     named = enrich(
         partial,
         _prefixed(teams, "t_", ["team_id", "team_name", "org_id", "org_name"]),
@@ -201,7 +213,11 @@ def _leaders(teams: DataFrame, people: DataFrame, names: list[str]) -> DataFrame
 
 
 def leader_colocation(
-    teams: DataFrame, people: DataFrame, locations: DataFrame, members: DataFrame
+    teams: DataFrame,
+    people: DataFrame,
+    locations: DataFrame,
+    members: DataFrame,
+    spread: DataFrame | None = None,
 ) -> DataFrame:
     """Per team: does the leader sit with the members, and at the registered office?
 
@@ -216,7 +232,7 @@ def leader_colocation(
     led = enrich(
         _leaders(base, people, ["location_code"]), place, {"p_location_code": "location_code"}
     )
-    dominant = member_spread(members).select(
+    dominant = (member_spread(members) if spread is None else spread).select(
         "team_id", "dominant_member_location", "dominant_location_headcount"
     )
     with_members = tristate_equal("leader_location_code", "dominant_member_location")

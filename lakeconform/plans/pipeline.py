@@ -7,9 +7,9 @@ import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from functools import cache
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeconform.operators.attribution import attribution_summary
@@ -24,10 +24,14 @@ from lakeconform.operators.quality import (
     violations,
     with_reason,
 )
-from lakeconform.operators.snapshots import latest_snapshot
 from lakeconform.plans import marts
 from lakeconform.plans.contracts import contracts, get_contract
-from lakeconform.plans.entities import DEDUP_ORDER, NORMALIZERS, normalize_achievements
+from lakeconform.plans.entities import (
+    DEDUP_ORDER,
+    NORMALIZERS,
+    check_raw,
+    normalize_achievements,
+)
 from lakeconform.plans.gates import gate_findings, stage_metrics, write_manifest
 from lakeconform.settings import Settings
 from lakeconform.sources.files import stringify_all
@@ -37,7 +41,9 @@ from lakeconform.sources.lake import (
     read_bronze,
     read_gold,
     read_silver,
+    remove_stage,
     settle,
+    snapshot_dates,
     stamp_bronze,
     stamp_gold,
     stamp_silver,
@@ -127,7 +133,7 @@ def _measured(
         step(row)
     except Exception as error:  # noqa: BLE001 - one entity must not take the others along
         log.exception("%s %s failed", layer, entity)
-        row |= {"status": "FAILED", "error": str(error).splitlines()[0]}
+        row |= {"status": "FAILED", "error": str(error) or type(error).__name__}
     row["ended_at"] = _now()
     row["duration_s"] = round((row["ended_at"] - row["started_at"]).total_seconds(), 3)
     accounted = row["rows_written"] + row["rows_quarantined"]
@@ -138,28 +144,37 @@ def _measured(
     return row
 
 
+def _not_built(
+    run: Run, layer: str, entity: str, why: str, status: str = "SKIPPED"
+) -> dict:
+    """The metric row of something that did not run."""
+    return _measured(run, layer, entity, lambda row: row.update(status=status, error=why))
+
+
 # Bronze
 
 
 def ingest(run: Run, source: Source, origin: Origin) -> dict:
     """One source to bronze: text columns, lineage stamps, one date partition.
 
-    The rows are counted after they are written, from the files; a source is read once more
-    for its own count so that the two figures are independent.
+    The source is read once. Rows read are counted while they are written, rows written from
+    the files afterwards, so the two figures are independent.
     """
 
     def step(row: dict) -> None:
         raw, path = read_source(run.spark, source, origin)
         row["source_path"] = path
         row["notes"] |= {"route": source.route, "business_key": list(source.key)}
-        row["rows_read"] = row["rows_valid"] = raw.count()
         if run.dry_run:
-            row["rows_written"] = row["rows_read"]
+            row["rows_read"] = row["rows_valid"] = row["rows_written"] = raw.count()
             return
+        seen = Observation()
+        raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
         stamped = stamp_bronze(
             stringify_all(raw), source.system, source.entity, path, source.route, run.batch_id
         )
         row["target_path"] = write_bronze(stamped, run.lake, source, run.ingest_date)
+        row["rows_read"] = row["rows_valid"] = seen.get["rows"]
         row["rows_written"] = count_written(run.spark, row["target_path"])
 
     return _measured(run, "bronze", source.entity, step)
@@ -170,7 +185,7 @@ def run_bronze(
     origin: Origin,
     entities: Iterable[str] | None = None,
     route: str | None = None,
-    options: Mapping[str, object] | None = None,
+    options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> list[dict]:
     """Every wanted source. Empty staging tables are filled from their exports first; if that
     fails, the sources read from them fail one by one and the others go on."""
@@ -187,17 +202,16 @@ def run_bronze(
 
 
 def bronze_snapshot(run: Run, entity: str) -> DataFrame:
-    """The run's own ingest date if it was loaded, else the newest one."""
+    """The run's own ingest date if it was loaded, else the newest one, by folder names."""
     source = get_source(entity)
-    try:
-        return read_bronze(run.spark, run.lake, source, run.ingest_date).drop("ingest_date")
-    except AnalysisException:
-        log.warning("%s has no ingest date %s; taking the newest", entity, run.ingest_date)
-        return latest_snapshot(read_bronze(run.spark, run.lake, source))
+    dates = snapshot_dates(run.spark, run.lake, source)
+    day = run.ingest_date if run.ingest_date in dates or not dates else dates[-1]
+    if day != run.ingest_date:
+        log.warning("%s has no ingest date %s; taking %s", entity, run.ingest_date, day)
+    return read_bronze(run.spark, run.lake, source, day).drop("ingest_date")
 
 
-def _normalized(run: Run, entity: str) -> DataFrame:
-    raw = bronze_snapshot(run, entity)
+def _normalized(run: Run, entity: str, raw: DataFrame) -> DataFrame:
     if entity != "achievements":
         return NORMALIZERS[entity](raw, run.settings)
     memberships = read_silver(run.spark, run.lake, "team_membership")
@@ -218,12 +232,14 @@ def refine(run: Run, entity: str) -> dict:
     def step(row: dict) -> None:
         notes = row["notes"]
         notes["business_key"] = list(contract.key)
-        normalized = _normalized(run, entity)
+        raw = bronze_snapshot(run, entity)
         try:
-            check_required(normalized, contract)
+            check_raw(raw, entity)
         except SchemaDriftError as drift:
-            _quarantine_whole(run, row, normalized, entity, str(drift))
+            _quarantine_whole(run, row, raw, entity, str(drift))
             return
+        normalized = _normalized(run, entity, raw)
+        check_required(normalized, contract)
         annotated = normalized.withColumn(VIOLATIONS, violations(contract.errors))
         if not run.dry_run:
             annotated = settle(annotated, run.lake, f"silver/{entity}", run.batch_id)
@@ -349,14 +365,22 @@ def run_gold(run: Run) -> list[dict]:
 
     rows = [publish(run, "team_members", roster, count("team_membership"))]
     if rows[0]["status"] == "FAILED":
-        return rows
+        return rows + [
+            _not_built(run, "gold", name, "the roster failed") for name in GOLD_DATASETS[1:]
+        ]
     # In a dry run nothing was written, so the roster is a plan and not a table.
     members = roster() if run.dry_run else read_gold(run.spark, run.lake, "team_members")
 
+    @cache
+    def spread() -> DataFrame:
+        """Where the members of each team are, for the two datasets that ask."""
+        df = marts.member_spread(members)
+        return df if run.dry_run else settle(df, run.lake, "gold/member_spread", run.batch_id)
+
     threshold = run.settings.ratio_threshold
     built = {
         "team_locations": (
-            lambda: marts.team_locations(silver("teams"), silver("locations"), members),
+            lambda: marts.team_locations(silver("teams"), silver("locations"), members, spread()),
             count("teams"),
             False,
         ),
@@ -367,7 +391,7 @@ def run_gold(run: Run) -> list[dict]:
         ),
         "leader_not_colocated": (
             lambda: marts.leader_colocation(
-                silver("teams"), silver("dim_person"), silver("locations"), members
+                silver("teams"), silver("dim_person"), silver("locations"), members, spread()
             ),
             count("teams"),
             False,
@@ -396,7 +420,7 @@ def run_gold(run: Run) -> list[dict]:
     for dataset, (build, read, is_aggregate) in built.items():
         rows.append(publish(run, dataset, build, read, is_aggregate))
     if any(row["status"] == "FAILED" for row in rows):
-        return rows
+        return [*rows, _not_built(run, "gold", "business_answers", "a dataset failed")]
 
     def answers() -> DataFrame:
         if run.dry_run:
@@ -434,19 +458,23 @@ def run_pipeline(
     batch_id: str | None = None,
     ingest_date: str | None = None,
     route: str | None = None,
-    options: Mapping[str, object] | None = None,
+    options: Mapping[str, Mapping[str, object]] | None = None,
+    keep_stage: bool = False,
 ) -> RunReport:
     """Run the wanted stages in order, write the manifest and apply the gates.
 
     Unknown stages and entities are errors before anything runs. A failed entity fails the
     gates but does not hold up the others; a stage in which everything failed ends the run
-    unless ``continue_on_error`` is set.
+    unless ``continue_on_error`` is set. What was then not built has a row ``SKIPPED``; a stage
+    that breaks off has a row ``FAILED`` for ``*``. The run's intermediate tables are deleted at
+    its end unless ``keep_stage`` is set.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise KeyError(f"unknown stages {sorted(unknown)}; known: {list(STAGES)}")
-    entities = None if entities is None else list(entities)
-    select_sources(entities)
+    # No entities means all of them, as None does.
+    entities = list(entities or []) or None
+    select_sources(entities, route, options)
     if "bronze" in stages and origin is None:
         raise ValueError("the bronze stage needs an origin")
     run = Run(
@@ -463,11 +491,23 @@ def run_pipeline(
         "gold": lambda: run_gold(run),
     }
     rows: list[dict] = []
-    for stage in (name for name in STAGES if name in stages):
-        done = steps[stage]()
-        rows += done
-        if all(row["status"] == "FAILED" for row in done) and not continue_on_error:
-            break
+    ended = False
+    try:
+        for stage in (name for name in STAGES if name in stages):
+            if ended:
+                rows.append(_not_built(run, stage, "*", "an earlier stage failed"))
+                continue
+            try:
+                done = steps[stage]()
+            except Exception as error:  # noqa: BLE001 - the manifest must still be written
+                log.exception("%s broke off", stage)
+                done = [_not_built(run, stage, "*", str(error) or type(error).__name__, "FAILED")]
+            rows += done
+            failed = bool(done) and all(row["status"] in ("FAILED", "SKIPPED") for row in done)
+            ended = failed and not continue_on_error
+    finally:
+        if not dry_run and not keep_stage:
+            remove_stage(spark, lake, run.batch_id)
 
     local = (spark.conf.get("spark.master", "") or "").startswith("local")
     metrics = stage_metrics(spark, rows, is_local=local)

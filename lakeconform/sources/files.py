@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+CORRUPT = "_corrupt_record"
+
 
 def read_csv_raw(
     spark: SparkSession, path: str, multiline: bool = False, **options: str
@@ -24,6 +26,8 @@ def read_csv_raw(
         "multiLine": str(multiline).lower(),
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
+        # Check the header of every file: by default the first one's order is put on all.
+        "enforceSchema": "false",
         **options,
     }
     return spark.read.options(**settings).csv(path)
@@ -32,14 +36,15 @@ def read_csv_raw(
 def read_json_raw(
     spark: SparkSession,
     path: str,
-    multiline: bool = True,
+    multiline: bool = False,
     schema: str | StructType | None = None,
     **options: str,
 ) -> DataFrame:
     """JSON with every scalar as text.
 
-    ``multiline`` reads one top-level array per file, which is one task per file; without it
-    the input is JSON Lines and splittable. A given ``schema`` saves the inference pass.
+    By default the input is JSON Lines and splittable. ``multiline`` reads one top-level array
+    per file, which one task holds and parses. A given ``schema`` saves the inference pass, but
+    hides a column that the feed has lost.
     """
     settings = {
         "multiLine": str(multiline).lower(),
@@ -48,7 +53,12 @@ def read_json_raw(
         **options,
     }
     reader = spark.read.options(**settings)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    df = (reader.schema(schema) if schema is not None else reader).json(path)
+    if df.columns == [CORRUPT]:
+        # No line is JSON, as in an array over several lines: keep the lines, so that the feed
+        # is found to have drifted and can be quarantined as it is.
+        return spark.read.text(path).withColumnRenamed("value", CORRUPT)
+    return df
 
 
 def read_file(spark: SparkSession, path: str, file_format: str, **options) -> DataFrame:
@@ -71,9 +81,8 @@ def stringify_all(df: DataFrame) -> DataFrame:
 
 
 def describe_frame(df: DataFrame, limit: int = 5) -> dict:
-    """Shape of a frame for a log line; no job runs."""
+    """Shape of a frame for a log line, from its schema alone: no job runs."""
     return {
         "columns": len(df.columns),
         "column_names": df.columns[:limit],
-        "partitions": df.rdd.getNumPartitions(),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -151,9 +152,36 @@ def write_quarantine(
 
 
 def stage_root(spark: SparkSession, lake: Lake) -> str:
-    """The cluster's shared folder for intermediate tables, else one inside the lake."""
+    """The lake's own part of the cluster's shared folder, else a folder inside the lake."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or lake.root + '/_stage'}/lakeconform"
+    if not shared:
+        return f"{lake.root}/_stage"
+    return f"{shared}/lakeconform/{hashlib.sha256(lake.root.encode()).hexdigest()[:16]}"
+
+
+def stage_path(spark: SparkSession, lake: Lake, batch_id: str) -> str:
+    return f"{stage_root(spark, lake)}/batch_id={batch_id}"
+
+
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as Hadoop knows them."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def remove_stage(spark: SparkSession, lake: Lake, batch_id: str) -> None:
+    """Delete the intermediate tables of one run."""
+    store, path = _folder(spark, stage_path(spark, lake, batch_id))
+    store.delete(path, True)
+
+
+def snapshot_dates(spark: SparkSession, lake: Lake, source: Source) -> list[str]:
+    """The ingest dates of a bronze entity in order, from the folder names; no row is read."""
+    store, path = _folder(spark, lake.bronze(source))
+    if not store.exists(path):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(path)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("ingest_date="))
 
 
 def settle(df: DataFrame, lake: Lake, name: str, batch_id: str) -> DataFrame:
@@ -162,6 +190,6 @@ def settle(df: DataFrame, lake: Lake, name: str, batch_id: str) -> DataFrame:
     What several outputs are made from is then computed once and survives lost executors.
     """
     spark = df.sparkSession
-    path = f"{stage_root(spark, lake)}/batch_id={batch_id}/{name}"
+    path = f"{stage_path(spark, lake, batch_id)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -81,15 +81,25 @@ def get_source(entity: str) -> Source:
 def select_sources(
     entities: Iterable[str] | None = None,
     route: str | None = None,
-    options: Mapping[str, object] | None = None,
+    options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> tuple[Source, ...]:
     """The wanted sources in registered order, all by default.
 
-    ``route`` overrides theirs, and ``options`` are merged over their reader options.
+    ``route`` overrides theirs. ``options`` holds reader options by format (``csv``, ``json``)
+    or by source entity, so that those of one format never reach the readers of another; those
+    of an entity win.
     """
+    options = options or {}
+    known = {s.file_format for s in SOURCES} | {s.entity for s in SOURCES}
+    if unknown := set(options) - known:
+        raise KeyError(f"options for unknown formats or sources {sorted(unknown)}")
     wanted = None if entities is None else {get_source(name).entity for name in entities}
     return tuple(
-        replace(s, route=route or s.route, options={**s.options, **(options or {})})
+        replace(
+            s,
+            route=route or s.route,
+            options={**s.options, **options.get(s.file_format, {}), **options.get(s.entity, {})},
+        )
         for s in SOURCES
         if wanted is None or s.entity in wanted
     )
@@ -99,8 +109,8 @@ def select_sources(
 class Origin:
     """Where exports lie (``raw_root``) and how to reach the staging tables.
 
-    ``jdbc_ranges`` gives ``(column, (low, high), partitions)`` per entity; a table without
-    one is read by a single connection.
+    ``jdbc_ranges`` gives ``(column, (low, high), partitions)`` per entity. A table without
+    one would be read whole by one task; that has to be asked for with ``single_connection``.
     """
 
     raw_root: str
@@ -108,6 +118,7 @@ class Origin:
     jdbc_schema: str = "staging"
     jdbc_properties: Mapping[str, str] = field(default_factory=dict)
     jdbc_ranges: Mapping[str, tuple[str, tuple, int]] = field(default_factory=dict)
+    single_connection: bool = False
 
     def file_path(self, source: Source) -> str:
         return f"{self.raw_root}/{source.system}/{source.file_name}"
@@ -124,6 +135,8 @@ def _from_file(spark: SparkSession, source: Source, origin: Origin) -> tuple[Dat
 def _from_jdbc(spark: SparkSession, source: Source, origin: Origin) -> tuple[DataFrame, str]:
     table, ranges = origin.table(source), origin.jdbc_ranges.get(source.entity, ())
     url = _jdbc_url(source, origin)
+    if not ranges and not origin.single_connection:
+        raise ValueError(f"{source.name} needs jdbc_ranges, or single_connection for one task")
     return read_jdbc(spark, url, table, *ranges, properties=origin.jdbc_properties), f"jdbc:{table}"
 
 

@@ -10,10 +10,10 @@ from lakeconform.operators.identity import dominant_value, unify_people
 
 
 def test_order_decides(spark):
-    df = spark.createDataFrame([("W-001", 90), ("W-001", 10)], "id string, size int")
-    kept, dropped = deduplicate(df, ["id"], ["size"])
-    assert rows_of(kept) == [("W-001", 10)]
-    assert rows_of(dropped) == [("W-001", 90, "duplicate_business_key[id]")]
+    df = spark.createDataFrame([("oak", "south", 4), ("oak", "north", 9), ("elm", "west", 1)], "tree string, side string, rings int")
+    kept, dropped = deduplicate(df, ["tree"], ["-rings"])
+    assert rows_of(kept, "tree", "side") == [("elm", "west"), ("oak", "north")]
+    assert rows_of(dropped) == [("oak", "south", 4, "duplicate_business_key[tree]")]
 
 
 def test_nulls_come_last_and_form_one_key(spark):

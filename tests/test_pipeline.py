@@ -75,7 +75,7 @@ def write_exports(root):
         rows = EXPORTS[source.entity]
         path = folder / source.file_name
         if source.file_format == "json":
-            path.write_text(json.dumps(rows, indent=2))
+            path.write_text("".join(json.dumps(row) + "\n" for row in rows))
         else:
             with path.open("w", newline="") as f:
                 writer = csv.DictWriter(f, rows[0].keys())
@@ -208,21 +208,73 @@ def test_one_missing_export_fails_alone(spark, home, origin, tmp_path):
 
 def test_nothing_works_ends_the_run(spark, home, tmp_path):
     report = run(spark, home, Origin(str(tmp_path / "empty")))
-    assert {r.layer for r in report.metrics.collect()} == {"bronze"}
+    status = {(r.layer, r.status) for r in report.metrics.collect()}
+    assert status == {("bronze", "FAILED"), ("silver", "SKIPPED"), ("gold", "SKIPPED")}
     goes_on = run(spark, home, Origin(str(tmp_path / "empty")), continue_on_error=True)
     assert {r.layer for r in goes_on.metrics.collect()} == {"bronze", "silver", "gold"}
     assert not goes_on.passed
 
 
-def test_drift_quarantines_the_feed(spark, home, origin, monkeypatch):
-    from lakeconform.plans import pipeline
+def test_drift_quarantines_the_feed(spark, home, origin, tmp_path):
+    """A feed that lost a column goes to quarantine whole, with its raw columns."""
+    lost = [{k: v for k, v in row.items() if k != "org_leader_email"} for row in EXPORTS["organizations"]]
+    feed = tmp_path / "raw" / "org_structure" / "organizations.json"
+    feed.write_text("".join(json.dumps(row) + "\n" for row in lost))
+    rows = by_entity(run(spark, home, origin, stages=["bronze", "silver"], batch_id="b1"))
+    failed = rows["silver", "organizations"]
+    assert (failed.status, failed.rows_read, failed.rows_quarantined) == ("FAILED", 1, 1)
+    assert "schema drift" in failed.error and "org_leader_email" in failed.error
+    rejected = spark.read.parquet(home.quarantine("silver", "organizations", "b1"))
+    assert rows_of(rejected, "org_name", "_rejection_reason") == [("One", "schema_drift")]
+    assert rows["silver", "teams"].status == "SUCCESS"
 
-    monkeypatch.setitem(
-        pipeline.NORMALIZERS, "teams", lambda raw, settings: raw.selectExpr("team_id")
-    )
+
+def test_an_array_read_as_lines_is_drift(spark, home, origin, tmp_path):
+    feed = tmp_path / "raw" / "project_tracking" / "teams.json"
+    feed.write_text(json.dumps(EXPORTS["teams"], indent=2))
     rows = by_entity(run(spark, home, origin, stages=["bronze", "silver"], batch_id="b1"))
-    teams = rows["silver", "teams"]
-    assert (teams.status, teams.rows_read, teams.rows_quarantined) == ("FAILED", 1, 1)
-    assert "schema drift" in teams.error
-    rejected = spark.read.parquet(home.quarantine("silver", "teams", "b1"))
-    assert rows_of(rejected, "_rejection_reason") == [("schema_drift",)]
+    assert rows["silver", "teams"].status == "FAILED"
+    assert rows["silver", "teams"].rows_quarantined == rows["silver", "teams"].rows_read > 0
+    arrays = run(spark, home, origin, stages=["bronze", "silver"], options={"teams": {"multiline": True}})
+    assert by_entity(arrays)["silver", "teams"].status == "SUCCESS"
+
+
+def test_no_entities_means_all(spark, home, origin):
+    report = run(spark, home, origin, stages=["bronze"], entities=[])
+    assert len(report.metrics.collect()) == 7
+
+
+def test_an_error_without_a_message_stays_in_its_row(spark, home, origin, monkeypatch):
+    from lakeconform.plans import pipeline
+
+    def broken(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(pipeline, "write_bronze", broken)
+    rows = by_entity(run(spark, home, origin, stages=["bronze"], entities=["teams"]))
+    assert (rows["bronze", "teams"].status, rows["bronze", "teams"].error) == ("FAILED", "AssertionError")
+
+
+def test_a_stage_that_breaks_off_and_what_follows_have_rows(spark, home, origin, monkeypatch):
+    from lakeconform.plans import pipeline
+
+    def broken(*_):
+        raise RuntimeError("no reason")
+
+    monkeypatch.setattr(pipeline, "run_silver", broken)
+    rows = by_entity(run(spark, home, origin))
+    assert (rows["silver", "*"].status, rows["silver", "*"].error) == ("FAILED", "no reason")
+    assert rows["gold", "*"].status == "SKIPPED"
+
+
+def test_intermediate_tables_are_gone_after_a_run(spark, home, origin, tmp_path):
+    from pathlib import Path
+
+    from lakeconform.sources.lake import stage_path
+
+    other = Lake(str(tmp_path / "other"))
+    assert stage_path(spark, home, "b1") != stage_path(spark, other, "b1")
+    run(spark, home, origin, stages=["bronze", "silver"], batch_id="b1", keep_stage=True)
+    assert Path(stage_path(spark, home, "b1")).exists()
+    run(spark, home, origin, stages=["silver"], batch_id="b1")
+    assert not Path(stage_path(spark, home, "b1")).exists()

@@ -33,9 +33,9 @@ def test_csv_line_breaks_in_values_need_multiline(spark, tmp_path):
 def test_json_array_and_lines(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"s": 7.5, "o": {"id": 1}}, {"s": "Low"}]')
     (tmp_path / "l.json").write_text('{"s": 7.5}\n{"s": "Low"}\n')
-    array = stringify_all(read_json_raw(spark, str(tmp_path / "a.json")))
+    array = stringify_all(read_json_raw(spark, str(tmp_path / "a.json"), multiline=True))
     assert rows_of(array, "s", "o") == [("7.5", '{"id":"1"}'), ("Low", None)]
-    lines = read_json_raw(spark, str(tmp_path / "l.json"), multiline=False, schema="s string")
+    lines = read_json_raw(spark, str(tmp_path / "l.json"), schema="s string")
     assert rows_of(lines) == [("7.5",), ("Low",)]
     with pytest.raises(ValueError, match="xml"):
         read_file(spark, "x", "xml")
@@ -47,6 +47,47 @@ def test_stringify_odd_names(spark):
     assert describe_frame(df, 2)["column_names"] == ["x.y", "b"]
 
 
+def test_describing_a_frame_runs_no_job(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k").groupBy("k").count()
+    spark.sparkContext.setJobGroup("describe", "describe")
+    assert describe_frame(df) == {"columns": 2, "column_names": ["k", "count"]}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("describe")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_csv_files_with_unlike_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,city\n1,Lima\n")
+    (tmp_path / "b.csv").write_text("city,id\nRome,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_raw(spark, str(tmp_path)).collect()
+
+
+def test_a_large_lines_file_is_read_in_parts(spark, tmp_path):
+    (tmp_path / "l.json").write_text('{"s": "0123456789"}\n' * 20_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    parts = read_json_raw(spark, str(tmp_path / "l.json"), schema="s string").rdd.getNumPartitions()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert parts > 3
+
+
+def test_jdbc_needs_ranges_or_a_word_for_one_connection(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "read_jdbc", lambda *a, **k: spark.range(1))
+    source = get_source("employees")
+    with pytest.raises(ValueError, match="jdbc_ranges"):
+        read_source(spark, source, Origin(str(tmp_path), "jdbc:x"))
+    df, _ = read_source(spark, source, Origin(str(tmp_path), "jdbc:x", single_connection=True))
+    assert df.count() == 1
+
+
+def test_snapshot_dates_come_from_folder_names(spark, tmp_path):
+    home, source = lake.Lake(str(tmp_path)), get_source("teams")
+    assert lake.snapshot_dates(spark, home, source) == []
+    for day in ("2024-01-02", "2024-01-01"):
+        lake.write_bronze(spark.createDataFrame([("x",)], "v string"), home, source, day)
+    assert lake.snapshot_dates(spark, home, source) == ["2024-01-01", "2024-01-02"]
+
+
 def test_jdbc_options():
     options = jdbc.read_options("jdbc:x", "t", "id", (1, 9), 4, {"user": "u"})
     assert options["numPartitions"] == "4" and options["user"] == "u"
@@ -61,9 +102,12 @@ def test_registry(spark, tmp_path):
     assert get_source("achievements").entity == "monthly_achievements"
     with pytest.raises(KeyError, match="employees"):
         get_source("nothing")
-    picked = select_sources(["teams", "employees"], route="file", options={"multiline": False})
+    picked = select_sources(["teams", "employees"], route="file", options={"json": {"multiline": True}})
     assert [s.entity for s in picked] == ["employees", "teams"]
     assert {s.route for s in picked} == {"file"}
+    assert [dict(s.options) for s in picked] == [{}, {"multiline": True}]
+    with pytest.raises(KeyError, match="multiline"):
+        select_sources(options={"multiline": True})
     with pytest.raises(ValueError, match="JDBC"):
         read_source(spark, get_source("employees"), Origin(str(tmp_path)))
 
