@@ -5,18 +5,18 @@ matrix with its transpose holds the overlaps of all pairs. Only the part that ca
 computed, exactly:
 
 * Documents with equal shingle sets are one row.
-* Of each row only the first ``n - ceil(t n) + 1`` columns are multiplied, in an order with
-  frequent shingles last: two rows alike by ``t`` share one of these. Columns that one row alone
-  has are dropped.
+* Of each row only the first ``n - ceil(t n) + 1`` columns are multiplied, in an order by the
+  count of a shingle's rarest word: two rows alike by ``t`` share one of these. Columns that one
+  row alone has are dropped.
 * Pairs are discarded by bounds from their sizes, from the places of the shared column, and
   from 256 parities: each differing shingle flips one, so more differing parities than
   differing shingles allowed prove the pair unlike.
-* For the remaining pairs the overlap is accumulated over all columns, block by block.
+* For the remaining pairs the overlap is taken over all columns.
 
 A group of near copies would still give every pair of its members. So the product is taken in
-two rounds. First each column's rows are multiplied with one row of about their size, and each
-row keeps one partner; the links found form components. Then only pairs in different
-components are multiplied: those in the same one are joined already, whatever their overlap.
+rounds. In the first ones each column's rows are multiplied with one row of another component
+and about their size, and each row keeps one partner; the links form components. Then only pairs
+in different components are multiplied: those in the same one are joined already, whatever their overlap.
 Their overlaps over the kept columns are summed, and pairs that the columns left out could not
 bring to the threshold are discarded.
 After it every two rows that share a column are known to be linked, unlike, or in one component,
@@ -44,21 +44,42 @@ from lakeconform.operators.joins import enrich
 
 WIDTH = 3
 PERCENT = 90
-# How many frequent shingles are put last in the order, and how many a partition may name.
-# They only decide the order of columns; any number gives the same result.
-FREQUENT = 1 << 17
-NAMED = 50_000
+# Cells of the word counts. They only decide the order of columns; any number is right.
+CELLS = 1 << 20
+# Rounds with one partner for each row before all pairs left are taken.
+ROUNDS = 2
 SIGNS = ("s0", "s1", "s2", "s3")
 # A band holds sizes within a tenth of each other.
 BAND = 1.1
 
 
-def _sets(batch: pa.RecordBatch, column: str, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    """Ranges of rows with the sorted shingle set of each."""
+def _sets(
+    batch: pa.RecordBatch, column: str, width: int, classes: np.ndarray | None = None
+) -> Iterator[tuple]:
+    """Ranges of rows with the sorted shingle set of each.
+
+    With ``classes`` also the class of the rarest word of each shingle in the sets.
+    """
     texts = batch.column(column)
     for a, b in slices(texts):
-        found = shingles_of(words_of(texts.slice(a, b - a), WHITE), width)
-        yield a, b, [np.unique(found.hashes[i:j]) for i, j in zip(found.rows, found.rows[1:], strict=False)]
+        words = words_of(texts.slice(a, b - a), WHITE)
+        found = shingles_of(words, width)
+        spans = list(zip(found.rows, found.rows[1:], strict=False))
+        if classes is None:
+            yield a, b, [np.unique(found.hashes[i:j]) for i, j in spans]
+            continue
+        word = classes[_cell(words.hashes)]
+        sets, rarest = [], []
+        for (i, j), start, end in zip(spans, words.rows, words.rows[1:], strict=False):
+            values, first = np.unique(found.hashes[i:j], return_index=True)
+            own = word[start:end]
+            if len(own) > width:
+                own = np.lib.stride_tricks.sliding_window_view(own, width).min(axis=1)
+            elif len(own):
+                own = own.min(keepdims=True)
+            sets.append(values)
+            rarest.append(own[first])
+        yield a, b, sets, rarest
 
 
 def positioned(docs: DataFrame) -> DataFrame:
@@ -66,55 +87,56 @@ def positioned(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
 
 
-def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """The most frequent shingles of the corpus, most frequent last; at most ``FREQUENT``.
+def word_classes(docs: DataFrame) -> np.ndarray:
+    """Count class of every hashed word, four steps to a doubling, in ``CELLS`` cells.
 
-    Each partition names those it meets most often, their counts are summed over all.
+    A shingle is no more frequent than its rarest word, so these few cells tell which shingles
+    are rare. Each task sums its own words first; one array of fixed length is collected.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for _, _, sets in _sets(batch, "text", width):
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
-                keys = np.concatenate([keys, found[n > 1]])
-                counts = np.concatenate([counts, n[n > 1]])
-                if len(keys) > 16 * NAMED:
-                    keys, counts = _most(keys, counts, 4 * NAMED)
-        keys, counts = _most(keys, counts, NAMED)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"]
-        )
-
-    named = docs.select("text").mapInArrow(count, "key bigint, n bigint")
-    rows = (
-        named.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT)
-    ).toPandas()
-    return rows["key"].to_numpy(np.int64).view(np.uint64)[::-1]
+            texts = batch.column("text")
+            for a, b in slices(texts):
+                words = words_of(texts.slice(a, b - a), WHITE)
+                total += np.bincount(_cell(words.hashes), minlength=CELLS)
+        cells = np.flatnonzero(total)
+        for at in range(0, len(cells), 100_000):
+            part = cells[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), pa.array(total[part])], names=["cell", "n"]
+            )
+
+    counted = docs.select("text").mapInArrow(count, "cell bigint, n bigint")
+    classes = counted.groupBy("cell").agg(
+        F.expr("CAST(least(255, floor(4 * log2(1 + sum(n)))) AS SMALLINT)").alias("class")
+    )
+    row = classes.agg(
+        F.collect_list("cell").alias("cells"), F.collect_list("class").alias("classes")
+    ).first()
+    table = np.zeros(CELLS, np.uint8)
+    table[np.array(row["cells"], np.int64)] = row["classes"]
+    return table
 
 
-def _most(keys: np.ndarray, counts: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    distinct, place = np.unique(keys, return_inverse=True)
-    total = np.bincount(place, counts, len(distinct)).astype(np.int64)
-    top = np.argsort(-total, kind="stable")[:limit]
-    return distinct[top], total[top]
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
 
 
 def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per document: set size, set digest, parities, and the columns to multiply."""
-    frequent = frequent_shingles(docs, width)
-    order = np.argsort(frequent)
-    known, rank = frequent[order], order + 1
+    classes = word_classes(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, sets in _sets(batch, "text", width):
+            for a, b, sets, rarest in _sets(batch, "text", width, classes):
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 signs = np.zeros((len(sets), 256), bool)
                 prefixes = []
                 for i, s in enumerate(sets):
                     signs[i] = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1
-                    prefixes.append(_prefix(s, known, rank, percent).view(np.int64))
+                    prefixes.append(_prefix(s, rarest[i], percent).view(np.int64))
                 packed = np.packbits(signs, axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -135,17 +157,11 @@ def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return picked.mapInArrow(run, schema)
 
 
-def _prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
+def _prefix(s: np.ndarray, rarest: np.ndarray, percent: int) -> np.ndarray:
+    """The first columns of a sorted set, those with the rarest words first."""
     n = len(s)
-    if not n:
-        return s
-    size = n - -(-percent * n // 100) + 1
-    if len(known):
-        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-        place = np.where(known[at] == s, rank[at], 0)
-        if place.any():
-            s = s[np.argsort(place, kind="stable")]
-    return s[:size]
+    size = n - -(-percent * n // 100) + 1 if n else 0
+    return s[np.argsort(rarest, kind="stable")[:size]]
 
 
 def _possible(percent: int) -> Column:
@@ -167,16 +183,19 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def first_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """At most one partner for each row: the one it shares most columns with.
+def first_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """At most one partner of another component for each row: the one it shares most with.
 
-    The candidates are one row per column and band of sizes. Partners that share less than a
-    hundredth of the columns are left to the second round, which misses none.
+    The candidates are two rows per column and band of sizes, those of the smallest and of the
+    largest root. Partners that share less than a hundredth of the columns are left to the last
+    round, which misses none.
     """
-    partner = entries.groupBy("key", "band").agg(F.min("x").alias("y"))
+    ends = placed.groupBy("key", "band").agg(
+        F.min(F.struct("root", "x")).alias("lo"), F.max(F.struct("root", "x")).alias("hi")
+    )
     shared = (
-        enrich(entries, partner, ["key", "band"])
-        .filter("x.rid <> y.rid")
+        enrich(placed, ends.filter("lo.root <> hi.root"), ["key", "band"])
+        .withColumn("y", F.expr("IF(root <> lo.root, lo.x, hi.x)"))
         .filter(_possible(percent))
         .groupBy(F.col("x.rid").alias("rid"), F.col("x.n").alias("n"), F.col("y.rid").alias("other"))
         .agg(F.count("*").alias("votes"))
@@ -234,39 +253,25 @@ def linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, perce
         for batch in batches:
             for a, b, sets in _sets(batch, "text", width):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rid").slice(a, b - a), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    [
+                        batch.column("rid").slice(a, b - a),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
                     names=["rid", "shingles"],
                 )
 
-    sets = found.select("rid", "text").mapInArrow(shingle, "rid bigint, shingles binary")
+    sets = found.select("rid", "text").mapInArrow(shingle, "rid bigint, shingles array<bigint>")
     sets = stored(sets, "ngram-sets")
     both = enrich(pairs, sets.withColumnsRenamed({"shingles": "left"}), {"a": "rid"})
     both = enrich(both, sets.withColumnsRenamed({"shingles": "right"}), {"b": "rid"})
 
-    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x = np.frombuffer(batch.column("left")[i].as_buffer(), np.uint64)
-                y = np.frombuffer(batch.column("right")[i].as_buffer(), np.uint64)
-                shared = overlap(x, y, -(-percent * (len(x) + len(y)) // (100 + percent)))
-                alike[i] = 100 * shared >= percent * (len(x) + len(y) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(alike))
-
-    return both.mapInArrow(accumulate, "a bigint, b bigint")
-
-
-def overlap(x: np.ndarray, y: np.ndarray, needed: int, block: int = 4096) -> int:
-    """Shared entries of two sorted sets, in blocks; stops when ``needed`` is out of reach."""
-    shared, at = 0, 0
-    for start in range(0, len(x), block):
-        part = x[start : start + block]
-        end = at + int(np.searchsorted(y[at:], part[-1], "right"))
-        shared += len(np.intersect1d(part, y[at:end], assume_unique=True))
-        at = end
-        if shared + min(len(x) - start - len(part), len(y) - at) < needed:
-            break
-    return shared
+    overlap = both.select(
+        "a",
+        "b",
+        F.expr("size(left) + size(right)").alias("n"),
+        F.expr("size(array_intersect(left, right))").alias("shared"),
+    )
+    return overlap.filter(f"100 * shared >= {percent} * (n - shared)").select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -312,25 +317,33 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
     rows = stored(rows.withColumn("rid", F.monotonically_increasing_id()), "ngram-sets-distinct")
     thin = rows.select("rid", "n", F.posexplode("prefix").alias("at", "key"))
     shared = thin.groupBy("key").agg(F.count("*").alias("_rows")).filter("_rows > 1")
-    entries = thin.join(shared.select("key"), "key")
+    shared = stored(shared.select("key"), "ngram-columns")
+    entries = thin.join(narrow(shared), "key")
     entries = enrich(entries, rows.select("rid", *SIGNS), ["rid"])
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(BAND))).alias("band")
     entries = stored(
         entries.select("key", band, F.struct("rid", "n", "at", *SIGNS).alias("x")), "ngram-entries"
     )
-    pairs = stored(first_pairs(entries, percent), "ngram-pairs")
-    links = stored(linked(pairs, rows, docs, width, percent), "ngram-links")
-    roots = components(links)
-    labels = roots.withColumnsRenamed({"rid": "_rid", "root": "_root"})
-    placed = enrich(entries.withColumn("rid", F.col("x.rid")), labels, {"rid": "_rid"})
-    placed = placed.select("key", "x", F.coalesce("_root", "rid").alias("root"))
+    placed = entries.withColumn("root", F.col("x.rid"))
+    tried = links = None
+    for _ in range(ROUNDS):
+        pairs = first_pairs(placed, percent)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "ngram-pairs")
+        found = stored(linked(pairs, rows, docs, width, percent), "ngram-links")
+        tried = pairs if tried is None else tried.union(pairs)
+        links = found if links is None else links.union(found)
+        labels = components(links).withColumnsRenamed({"rid": "_rid", "root": "_root"})
+        placed = enrich(entries.withColumn("rid", F.col("x.rid")), labels, {"rid": "_rid"})
+        placed = placed.select("key", "band", "x", F.coalesce("_root", "rid").alias("root"))
+        placed = stored(placed, "ngram-placed")
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(
         F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")
     )
     mixed = enrich(placed, main, ["key"]).filter("roots > 1")
     mixed = stored(mixed.select("key", "x", "root", F.col("most.root").alias("main")), "ngram-mixed")
-    more = second_pairs(mixed, percent).join(pairs, ["a", "b"], "left_anti")
+    more = second_pairs(mixed, percent).join(tried, ["a", "b"], "left_anti")
     more = stored(more, "ngram-pairs")
     more_links = linked(more, rows, docs, width, percent)
     roots = components(stored(links.union(more_links), "ngram-links"))
@@ -361,5 +374,8 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     )
     goes = enrich(table.select("_row", "set_key"), by_set, ["set_key"]).filter("_row <> stays")
     goes = stored(goes.select("_row"), "ngram-goes")
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(narrow(goes), "_row", "left_anti").drop("_row")
+    # Names of its own, so that no column of the documents is hidden.
+    numbered = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    numbered = numbered.withColumn("_row", F.monotonically_increasing_id())
+    stay = numbered.join(narrow(goes), "_row", "left_anti").drop("_row")
+    return stay.toDF(*docs.columns)
