@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeconform.llm import bpe, decontaminate, importance, line_dedup, ngram_join
 from lakeconform.llm.common import stored, table
@@ -25,8 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that repeat an earlier one; documents left without words go."""
-    done = line_dedup.remove_repeats(docs).filter("kept")
-    return done.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return line_dedup.deduplicated(docs)
 
 
 def alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

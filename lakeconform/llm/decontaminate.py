@@ -200,7 +200,7 @@ def _scanner(ids: list, texts: list, threshold: float, radius: int):
                 if any(found):
                     earlier = part.column("matches").to_pylist()
                     merged = [
-                        e + [dict(zip(names, f, strict=True)) for f in sorted(m)]
+                        e + [dict(zip(names, f, strict=True)) for f in sorted(m, key=lambda f: f[2:])]
                         for e, m in zip(earlier, found, strict=True)
                     ]
                     part = part.set_column(at, part.schema.field(at), pa.array(merged, part.schema.field(at).type))

@@ -194,10 +194,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return stored(per_row, "lines-removed")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Every document with all its columns, its text without repeated lines, and
+def _rebuilt(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents under other column names, with ``_n_lines``, ``_n_removed``, ``_new``
 
-    ``n_lines``, ``n_removed`` and ``kept`` (false if no word is left of a text with words).
+    (the text without repeated lines) and ``_kept``; and the other name of each column.
     """
     gone = removed_lines(docs)
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
@@ -221,9 +221,27 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         }
     )
     worded = "rlike '[^\\\\x20\\\\x09-\\\\x0D]'"
+    return done.withColumn("_kept", F.expr(f"removed IS NULL OR _new {worded}")), names
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``n_lines``, ``n_removed``, ``kept`` and the new ``text`` of every document.
+
+    ``kept`` is false if no word is left of a text that lost lines.
+    """
+    done, names = _rebuilt(docs)
     return done.select(
-        *[F.col("_new" if c == "text" else alias).alias(c) for c, alias in names.items()],
+        F.col(names["doc_id"]).alias("doc_id"),
         F.col("_n_lines").alias("n_lines"),
         F.col("_n_removed").alias("n_removed"),
-        F.expr(f"removed IS NULL OR _new {worded}").alias("kept"),
+        F.col("_kept").alias("kept"),
+        F.col("_new").alias("text"),
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The kept documents with all their columns, the new text and, if there, its ``n_chars``."""
+    done, names = _rebuilt(docs)
+    kept = done.filter("_kept")
+    made = {"text": F.col("_new"), "n_chars": F.length("_new").cast("bigint")}
+    return kept.select(*[made.get(c, F.col(alias)).alias(c) for c, alias in names.items()])

@@ -47,7 +47,7 @@ PERCENT = 90
 # Cells of the word counts. They only decide the order of columns; any number is right.
 CELLS = 1 << 20
 # Rounds with one partner for each row before all pairs left are taken.
-ROUNDS = 2
+ROUNDS = 3
 SIGNS = ("s0", "s1", "s2", "s3")
 # A band holds sizes within a tenth of each other.
 BAND = 1.1
@@ -164,6 +164,9 @@ def _prefix(s: np.ndarray, rarest: np.ndarray, percent: int) -> np.ndarray:
     return s[np.argsort(rarest, kind="stable")[:size]]
 
 
+APART = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in SIGNS)
+
+
 def _possible(percent: int) -> Column:
     """Whether the bounds allow ``x`` and ``y`` to be alike; all of them are exact integers.
 
@@ -171,11 +174,10 @@ def _possible(percent: int) -> Column:
     and at most ``(100 - p) (a + b) / (100 + p)`` shingles in one of the sets only.
     """
     p, q = percent, 100 + percent
-    apart = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in SIGNS)
     return F.expr(
         f"100 * least(x.n, y.n) >= {p} * greatest(x.n, y.n)"
         f" AND {q} * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= {p} * (x.n + y.n)"
-        f" AND {q} * ({apart}) <= {100 - p} * (x.n + y.n)"
+        f" AND {q} * ({APART}) <= {100 - p} * (x.n + y.n)"
     )
 
 
@@ -183,25 +185,34 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def first_pairs(placed: DataFrame, percent: int) -> DataFrame:
-    """At most one partner of another component for each row: the one it shares most with.
+def first_pairs(placed: DataFrame, percent: int, seed: int) -> DataFrame:
+    """At most one partner of another component for each row: the one that looks most alike.
 
-    The candidates are two rows per column and band of sizes, those of the smallest and of the
-    largest root. Partners that share less than a hundredth of the columns are left to the last
-    round, which misses none.
+    The candidates are two rows of different components per column and band of sizes, chosen by
+    a hash that changes with ``seed``. For long rows the parities say little; they need to share
+    a hundredth of the columns. What is left out here is left to the last round, which misses
+    none.
     """
-    ends = placed.groupBy("key", "band").agg(
-        F.min(F.struct("root", "x")).alias("lo"), F.max(F.struct("root", "x")).alias("hi")
+    chance = F.struct(
+        F.xxhash64("root", F.lit(seed)).alias("h"), F.xxhash64("x.rid", F.lit(seed)).alias("i"), "root", "x"
     )
+    ends = placed.groupBy("key", "band").agg(F.min(chance).alias("lo"), F.max(chance).alias("hi"))
     shared = (
         enrich(placed, ends.filter("lo.root <> hi.root"), ["key", "band"])
         .withColumn("y", F.expr("IF(root <> lo.root, lo.x, hi.x)"))
         .filter(_possible(percent))
-        .groupBy(F.col("x.rid").alias("rid"), F.col("x.n").alias("n"), F.col("y.rid").alias("other"))
+        .groupBy(
+            F.col("x.rid").alias("rid"),
+            F.col("x.n").alias("n"),
+            F.col("y.rid").alias("other"),
+            F.expr(APART).alias("apart"),
+        )
         .agg(F.count("*").alias("votes"))
-        .filter("100 * votes >= n")
+        .filter("n < 1000 OR 100 * votes >= n")
+    )
+    best = shared.groupBy("rid").agg(
+        F.min(F.struct("apart", (-F.col("votes")).alias("v"), "other")).alias("best")
     )
-    best = shared.groupBy("rid").agg(F.max(F.struct("votes", "other")).alias("best"))
     return _ordered(best, "rid", "best.other").distinct()
 
 
@@ -298,6 +309,23 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels ``rid``, ``root`` after joining the components that ``links`` connect.
+
+    Links count once per pair of components, however many rows of the two they connect.
+    """
+    if labels is None:
+        return components(links)
+    known = labels.withColumnsRenamed({"rid": "_rid", "root": "_root"})
+    ends = links
+    for side in ("a", "b"):
+        ends = enrich(ends, known, {side: "_rid"}).withColumn(side, F.coalesce("_root", side)).drop("_root")
+    joined = components(ends.filter("a <> b").distinct())
+    above = joined.withColumnsRenamed({"rid": "_rid", "root": "_root"})
+    moved = enrich(labels, above, {"root": "_rid"}).select("rid", F.coalesce("_root", "root").alias("root"))
+    return stored(moved.union(joined.join(labels, "rid", "left_anti").select("rid", "root")), "ngram-labels")
+
+
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Every document with its row, and every row with its component's root."""
     table = stored(incidence(docs, width, percent), "ngram-rows")
@@ -325,16 +353,16 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
         entries.select("key", band, F.struct("rid", "n", "at", *SIGNS).alias("x")), "ngram-entries"
     )
     placed = entries.withColumn("root", F.col("x.rid"))
-    tried = links = None
-    for _ in range(ROUNDS):
-        pairs = first_pairs(placed, percent)
+    tried = labels = None
+    for seed in range(ROUNDS):
+        pairs = first_pairs(placed, percent, seed)
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "ngram-pairs")
         found = stored(linked(pairs, rows, docs, width, percent), "ngram-links")
         tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = components(links).withColumnsRenamed({"rid": "_rid", "root": "_root"})
-        placed = enrich(entries.withColumn("rid", F.col("x.rid")), labels, {"rid": "_rid"})
+        labels = merged(labels, found)
+        known = labels.withColumnsRenamed({"rid": "_rid", "root": "_root"})
+        placed = enrich(entries.withColumn("rid", F.col("x.rid")), known, {"rid": "_rid"})
         placed = placed.select("key", "band", "x", F.coalesce("_root", "rid").alias("root"))
         placed = stored(placed, "ngram-placed")
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
@@ -346,7 +374,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
     more = second_pairs(mixed, percent).join(tried, ["a", "b"], "left_anti")
     more = stored(more, "ngram-pairs")
     more_links = linked(more, rows, docs, width, percent)
-    roots = components(stored(links.union(more_links), "ngram-links"))
+    roots = merged(labels, stored(more_links, "ngram-links"))
     labelled = enrich(
         rows.select("set_key", "rid", "least_id", "one"), roots.withColumnsRenamed({"rid": "_rid"}), {"rid": "_rid"}
     ).select("set_key", F.coalesce("root", "rid").alias("root"), "least_id", "one")

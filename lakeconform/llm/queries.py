@@ -45,8 +45,7 @@ def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return done.select("doc_id", "n_lines", "n_removed", "kept", "text")
+    return line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
