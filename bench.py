@@ -11,6 +11,7 @@ import json
 import os
 import tempfile
 import time
+import uuid
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -67,8 +68,12 @@ def write_exports(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def full_run(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
-    """A full run over the exports: seconds and rows per stage."""
-    work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A full run over the exports: seconds and rows per stage and per hop."""
+    # BENCH_LAKE is a folder all executors share; only a local master may do without it.
+    shared = os.environ.get("BENCH_LAKE")
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise SystemExit("set BENCH_LAKE to a shared folder")
+    work = f"{shared}/run-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
     write_exports(spark, sf_dir, f"{work}/raw")
     started = time.perf_counter()
     report = run_pipeline(
@@ -79,10 +84,12 @@ def full_run(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
         route="file",
     )
     total = time.perf_counter() - started
-    stages = report.metrics.groupBy("layer").sum("duration_s", "rows_read").collect()
-    seconds = {f"run_{row[0]}": round(row[1], 3) for row in stages}
-    rows = {f"run_{row[0]}": row[2] for row in stages}
-    return {"run_total": round(total, 3), **seconds}, rows
+    seconds, rows = {"run_total": round(total, 3)}, {}
+    for hop in report.metrics.select("layer", "entity", "duration_s", "rows_read").collect():
+        for name in (f"run_{hop.layer}", f"hop_{hop.layer}_{hop.entity}"):
+            seconds[name] = round(seconds.get(name, 0) + hop.duration_s, 3)
+            rows[name] = rows.get(name, 0) + hop.rows_read
+    return seconds, rows
 
 
 def main() -> None:
