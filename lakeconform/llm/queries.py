@@ -88,5 +88,21 @@ def queries() -> dict[str, Query]:
     return named | {"pipeline": corpus_pipeline.run}
 
 
+# The archives give back what was written, so plain SQL over the pages tells what they hold.
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+firsts AS (
+  SELECT sha256(payload) AS digest, min(page_id) AS first_id
+  FROM payloads WHERE strlen(payload) >= 100 GROUP BY 1
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  sha256(payload) AS payload_digest,
+  CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to,
+  true AS intact
+FROM payloads LEFT JOIN firsts ON digest = sha256(payload)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc": WARC_SQL}
