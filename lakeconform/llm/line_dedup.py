@@ -37,7 +37,11 @@ LEAST_WORDS = 3
 CELLS = 1 << 20
 PLACE = "struct<doc_id:bigint,_row:bigint,line_no:int>"
 
-WORDS = r"array_distinct(filter(split(lower(line), '[\\x20\\x09-\\x0D]+'), w -> w <> ''))"
+# Hashes of the different words; the empty pieces at the ends of a line are none.
+WORDS = (
+    r"array_distinct(array_remove(transform(split(lower(line), '[\\x20\\x09-\\x0D]+'),"
+    " w -> xxhash64(w)), xxhash64('')))"
+)
 IDENTITY = (1 << 54) - 1
 
 
@@ -50,7 +54,7 @@ def lines_of(rows: DataFrame) -> DataFrame:
     lines = rows.select(
         "doc_id", "_row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
     )
-    hashed = F.expr(f"transform({WORDS}, w -> xxhash64(w))").alias("hashes")
+    hashed = F.expr(WORDS).alias("hashes")
     return lines.select("doc_id", "_row", "line_no", hashed).filter(
         F.size("hashes") >= LEAST_WORDS
     )
@@ -152,7 +156,6 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """``_row`` and the numbers of the lines to remove from it, for rows that lose any."""
     rows, classes = rows_of(docs), rarity(docs)
     sets = stored(distinct_lines(rows, classes), "lines")
-    entry = F.struct("key", "n", "signs", F.col("at").cast("int").alias("at"))
     # First: the earliest line of about the same size with the same rarest word.
     rarest = sets.select(
         F.expr("prefix[0]").alias("word"),
@@ -166,14 +169,22 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     pairs = stored(pairs.selectExpr("y.key AS a", "x.key AS b"), "lines-pairs")
     settled = stored(later_of(verified(pairs, sets, rows, classes), sets), "lines-settled")
     # Then every pair of which one is not settled yet.
-    marked = enrich(sets.select("key", "n", "signs", "prefix"), settled.select("key", F.lit(True).alias("done")), ["key"])
+    done = settled.select("key", F.lit(True).alias("done"))
+    marked = sets.select("key", "n", "signs", "prefix").join(narrow(done), "key", "left")
     entries = marked.select(
-        F.coalesce("done", F.lit(False)).alias("done"), "key", "n", "signs", F.posexplode("prefix").alias("at", "word")
-    ).select("word", "done", entry.alias("x"))
-    others = entries.select(F.col("word").alias("w"), F.col("done").alias("d"), F.col("x").alias("y"))
-    met = entries.join(
-        others,
-        F.expr(f"word = w AND x.key < y.key AND NOT (done AND d) AND {POSSIBLE} AND {POSITIONS}"),
+        F.coalesce("done", F.lit(False)).alias("done"),
+        "key",
+        "n",
+        "signs",
+        F.posexplode("prefix").alias("at", "word"),
+    )
+    # Both sides are one frame under two names, so that it is shuffled once.
+    met = entries.alias("x").join(
+        entries.alias("y"),
+        F.expr(
+            "x.word = y.word AND x.key < y.key AND NOT (x.done AND y.done)"
+            f" AND {POSSIBLE} AND {POSITIONS}"
+        ),
     )
     more = stored(met.selectExpr("x.key AS a", "y.key AS b").distinct(), "lines-pairs")
     found = settled.union(later_of(verified(more, sets, rows, classes), sets))
