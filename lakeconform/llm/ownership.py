@@ -3,7 +3,9 @@
 Patterns find candidates in each text. The hash of each candidate's value is then counted over
 the corpus: how many repositories and how many owners hold it. A value that many owners hold is
 a copied example; one that a single owner holds and that looks random is taken as live. Random
-looking tokens without a telling name around them become spans only by that verdict.
+means: as even as drawn from the smallest alphabet that has all its characters, and not made of
+the letters of words. Random looking tokens without a telling name around them become spans only
+by that verdict.
 
 Null texts are empty. Spans count code points, end exclusive, and may overlap between kinds.
 Rows with the same id are separate documents. Only hashes and positions are moved, never texts.
@@ -14,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,9 +37,26 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-# A bare token: 24 to 200 letters and digits with both cases and digits among them.
-BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,200}(?![A-Za-z0-9+/_=-])")
-LEAST_ENTROPY = 3.5
+# A bare token: 24 letters, digits and signs of base64 or more.
+BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])")
+# Alphabets from the smallest; a value is judged by the first that has all its characters.
+DIGITS, LOWER, UPPER = string.digits, string.ascii_lowercase, string.ascii_uppercase
+ALPHABETS = tuple(
+    map(
+        frozenset,
+        (DIGITS, DIGITS + "abcdef", DIGITS + "ABCDEF", LOWER, UPPER, UPPER + "234567", LOWER + DIGITS,
+         UPPER + DIGITS, LOWER + UPPER, LOWER + UPPER + DIGITS, LOWER + UPPER + DIGITS + "+/=_-."),
+    )
+)
+# Part of the entropy expected of random characters that a value must have.
+EVENNESS = 0.85
+# Letters in words, per mille, and the bits a letter that tell words from random letters.
+LETTERS = dict(
+    zip("etaoinshrdlcumwfgypbvkjxqz",
+        (127, 91, 82, 75, 70, 67, 63, 61, 60, 43, 40, 28, 28, 24, 24, 22, 20, 20, 19, 15, 10, 8, 1.5, 1.5, 1, 0.7),
+        strict=True)
+)
+WORDLIKE = 0.25
 WIDELY = 3
 
 
@@ -45,9 +66,32 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
+@lru_cache(4096)
+def expected_entropy(n: int, size: int) -> float:
+    """Mean entropy of ``n`` characters drawn evenly from ``size``."""
+    if n > 8 * size:
+        return math.log2(size) - (size - 1) / (2 * n * math.log(2))
+    chance = 1 / size
+    lost = sum(
+        math.comb(n, c) * chance**c * (1 - chance) ** (n - c) * c * math.log2(c) for c in range(2, n + 1)
+    )
+    return math.log2(n) - size * lost / n
+
+
+def wordlike(value: str) -> bool:
+    """Whether hardly any digit is among the letters and these are common as in words."""
+    letters = [c for c in value.lower() if c in LETTERS]
+    if 8 * sum(map(str.isdigit, value)) >= len(value) or not letters:
+        return False
+    return sum(math.log2(26 * LETTERS[c] / 1000) for c in letters) > WORDLIKE * len(letters)
+
+
 def looks_random(value: str) -> bool:
-    kinds = [any(map(test, value)) for test in (str.isupper, str.islower, str.isdigit)]
-    return all(kinds) and entropy(value) >= LEAST_ENTROPY
+    used = set(value)
+    alphabet = next((a for a in ALPHABETS if used <= a), used)
+    if len(used) < 2 or entropy(value) < EVENNESS * expected_entropy(len(value), len(alphabet)):
+        return False
+    return used <= ALPHABETS[1] or used <= ALPHABETS[2] or not wordlike(value)
 
 
 def candidates(text: str) -> list[tuple[str, int, int, str]]:

@@ -157,6 +157,31 @@ def test_ownership_tells_copies_from_live_values(stored_docs):
     assert "live" not in found[1].spans
 
 
+def test_owners_decide_for_values_of_every_alphabet(stored_docs):
+    chosen = random.Random(8)
+    make = lambda signs, n: "".join(chosen.choices(signs, k=n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    values = {
+        "access": "AKIA" + make(upper + "234567", 16),
+        "hex": make("0123456789abcdef", 40),
+        "assign": "token=" + make(lower, 20),
+        "live": make(lower + "0123456789", 32),
+        "base32": make(upper + "234567", 32),
+        "letters": make(lower, 32),
+        "long": make(lower + upper + "0123456789+/", 900),
+    }
+    words = "internationalisationsettings see documentation/about/the/configuration anbletitionthtionbletion"
+    texts = [*values.values(), *[values["access"][:-1] + "Z " + values["hex"][::-1]] * 3, words, "deadbeef" * 4]
+    sources = [*"abcdefg", "x", "y", "z", "w", "v"]
+    found = ownership.find_secrets(stored_docs(texts, sources=sources)).collect()
+    spans = {r.doc_id: [(s.kind, s.end, s.verdict) for s in r.spans] for r in found}
+    for i, (kind, value) in enumerate(values.items()):
+        kind = kind if kind in ownership.KINDS else "live"
+        assert spans[i] == [(kind, len(value), "live")], value
+    assert {v for i in (7, 8, 9) for _, _, v in spans[i]} == {"copied"}
+    assert spans[10] == [] and spans[11] == [("hex", 32, "unclear")]
+
+
 # 3 Importance resampling
 
 
