@@ -2,12 +2,19 @@
 
 In DataFrame and SQL functions only. Patterns find e-mail addresses, IP addresses, card and
 phone numbers: those are the protected entities. Removing an entity is not enough if words
-nearby point to it. So the corpus is asked, line by line, how often an entity ``c`` and a word
-``t`` stand together: the pointwise mutual information ``log2(n(c,t) N / (n(c) n(t)))`` is the
-part of the entity's information content ``log2(N / n(c))`` that the word discloses. Words that
-disclose at least :data:`GENERALISE` of it become spans to be generalised, from :data:`REMOVE`
-on to be removed, wherever they occur. A pair counts only if it stands in at least
-:data:`CONTEXTS` different lines, so that copies and chance meetings prove nothing.
+nearby point to it. So the corpus is asked, line by line and document by document, how often an
+entity ``c`` and a word ``t`` stand together: the pointwise mutual information
+``log2(n(c,t) N / (n(c) n(t)))`` is the part of the entity's information content
+``log2(N / n(c))`` that the word discloses. Words that disclose at least :data:`GENERALISE` of
+it become spans to be generalised, from :data:`REMOVE` on to be removed, wherever they occur.
+
+Every entity is assessed, and with it its group, so that rare entities share evidence: the
+domain of an e-mail address, the network of an IP address, the first six digits of a card, the
+first five of a phone number. A pair counts if chance does not explain it: the bound
+``exp(-n(t) KL(n(c,t) / n(t), n(c) / N))`` on the chance of meeting so often is at most
+:data:`CHANCE` for all pairs of entities and words of the corpus together (Bonferroni). In it,
+copies of a line or document with the pair are one meeting. Where even a word that is only ever
+seen with the entity could not pass, the words are not counted; that leaves out none that would.
 
 Spans count code points, end exclusive. Null texts are empty: no spans. Patterns are written
 without backtracking over repeated groups and start only at the head of a run, so very long
@@ -23,7 +30,7 @@ from pyspark.sql import functions as F
 from lakeconform.llm.common import narrow, stored
 from lakeconform.operators.joins import enrich
 
-CONTEXTS = 3
+CHANCE = 0.05
 GENERALISE = 0.6
 REMOVE = 0.85
 
@@ -60,7 +67,15 @@ PATTERNS = {
     ),
 }
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
-TERM = r"\\p{L}{3,}+"
+# Any word: letters, their marks, digits.
+TERM = r"[\\p{L}\\p{M}\\p{N}]++"
+# What an entity is a member of; ``s`` is its span.
+GROUP = (
+    "CASE s.kind WHEN 'email' THEN substring_index(s.value, '@', -1)"
+    " WHEN 'ip' THEN substring_index(s.value, '.', 3)"
+    " WHEN 'card' THEN left(regexp_replace(s.value, '[^0-9]', ''), 6)"
+    " ELSE left(regexp_replace(s.value, '[^0-9]', ''), 5) END"
+)
 
 
 def spans_of(column: str, kind: str, pattern: str, valid: str) -> str:
@@ -98,54 +113,81 @@ def positioned(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text).withColumn("_row", F.monotonically_increasing_id())
 
 
-def protected_lines(rows: DataFrame) -> DataFrame:
-    """Lines with an entity: a hash of the line, its entities and its other words."""
-    hints = " OR ".join(PATTERNS[k][1].format("line") for k in KINDS)
-    lines = rows.select(F.explode(F.split("text", "\n", -1)).alias("line")).filter(hints)
-    found = lines.select("line", F.expr(entities("line")).alias("spans")).filter("size(spans) > 0")
-    bare = "line"
-    for kind in KINDS:
-        bare = f"regexp_replace({bare}, '{PATTERNS[kind][0]}', ' ')"
-    return found.select(
-        F.xxhash64("line").alias("line"),
-        F.expr("array_distinct(transform(spans, s -> xxhash64(s.kind, lower(s.value))))").alias(
-            "entities"
-        ),
-        F.expr(f"array_distinct(regexp_extract_all(lower({bare}), '{TERM}', 0))").alias("words"),
+def units_of(rows: DataFrame, lines: bool) -> DataFrame:
+    """The lines of the texts, or the texts whole, as ``unit``."""
+    return rows.select(F.explode(F.split("text", "\n", -1)).alias("unit") if lines else F.col("text").alias("unit"))
+
+
+def protected_units(rows: DataFrame, lines: bool) -> DataFrame:
+    """Different units with an entity: entities and groups, other words, copies ``n``."""
+    hints = " OR ".join(PATTERNS[k][1].format("unit") for k in KINDS)
+    found = units_of(rows, lines).filter(hints).select("unit", F.expr(entities("unit")).alias("spans"))
+    longest = "array_sort(spans, (a, b) -> length(b.value) - length(a.value))"
+    bare = f"aggregate({longest}, lower(unit), (a, s) -> replace(a, lower(s.value), ' '))"
+    return (
+        found.filter("size(spans) > 0")
+        .select(
+            F.xxhash64("unit").alias("unit"),
+            F.expr(
+                "array_distinct(concat(transform(spans, s -> xxhash64(s.kind, lower(s.value))),"
+                f" transform(spans, s -> xxhash64(s.kind, lower({GROUP}), 'group'))))"
+            ).alias("entities"),
+            F.expr(f"array_distinct(regexp_extract_all({bare}, '{TERM}', 0))").alias("words"),
+        )
+        .groupBy("unit")
+        .agg(F.first("entities").alias("entities"), F.first("words").alias("words"), F.count("*").alias("n"))
     )
 
 
-def disclosing_terms(rows: DataFrame) -> DataFrame:
+def disclosing_terms(rows: DataFrame, lines: bool) -> DataFrame:
     """``word`` and ``disclosure``, its largest for any entity, where above the threshold."""
-    lines = stored(protected_lines(rows), "pii-lines")
-    each = lines.select(F.explode("entities").alias("entity"), "line")
-    seen = each.groupBy("entity", "line").agg(F.count("*").alias("n"))
-    known = seen.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("contexts"))
-    known = stored(known.filter(F.col("contexts") >= CONTEXTS).drop("contexts"), "pii-entities")
-    pairs = lines.select(F.explode("entities").alias("entity"), "line", "words")
-    pairs = pairs.join(narrow(known.select("entity")), "entity", "left_semi")
+    units = stored(protected_units(rows, lines), "pii-units")
+    known = stored(
+        units.select(F.explode("entities").alias("entity"), "n")
+        .groupBy("entity")
+        .agg(F.sum("n").alias("n_entity"), F.count("*").alias("contexts")),
+        "pii-entities",
+    )
+    every = units_of(rows, lines).select(
+        F.explode_outer(F.expr(f"array_distinct(regexp_extract_all(lower(unit), '{TERM}', 0))")).alias("word")
+    )
+    sizes = every.agg(F.approx_count_distinct("word").alias("words")).first()
+    total = units_of(rows, lines).count()
+    tests = known.count() * sizes["words"]
+    none = units.sparkSession.createDataFrame([], "word string, disclosure double")
+    if not tests:
+        return none
+    needed = f"ln({tests}D / {CHANCE})"
+    # The most that a word seen as often, always with the entity, could prove.
+    reach = f"* ln({total}D / contexts) >= {needed}"
+    able = stored(known.filter(f"contexts {reach}"), "pii-able")
+    pairs = units.select(F.explode("entities").alias("entity"), "words", "n")
+    pairs = pairs.join(narrow(able.select("entity")), "entity", "left_semi")
     joint = (
-        pairs.select("entity", "line", F.explode("words").alias("word"))
-        .groupBy("entity", "word", "line")
-        .agg(F.count("*").alias("n"))
+        pairs.select("entity", "n", F.explode("words").alias("word"))
         .groupBy("entity", "word")
-        .agg(F.sum("n").alias("n_joint"), F.count("*").alias("contexts"))
-        .filter(F.col("contexts") >= CONTEXTS)
+        .agg(F.sum("n").alias("n_joint"), F.count("*").alias("met"))
     )
-    joint = stored(enrich(joint.drop("contexts"), known, ["entity"]), "pii-joint")
+    joint = stored(enrich(joint, able, ["entity"]).filter(f"met {reach}"), "pii-joint")
     terms = stored(joint.select("word").distinct(), "pii-terms")
-    total = rows.agg(F.sum(F.size(F.split("text", "\n", -1))).alias("n")).first()["n"] or 0
-    if not total or terms.isEmpty():
-        return terms.select("word", F.lit(0.0).alias("disclosure")).limit(0)
-    words = rows.select(F.explode(F.split("text", "\n", -1)).alias("line")).select(
-        F.explode(F.expr(f"array_distinct(regexp_extract_all(lower(line), '{TERM}', 0))")).alias("word")
+    if terms.isEmpty():
+        return none
+    counts = every.join(narrow(terms), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n_word"))
+    measured = enrich(joint, counts, ["word"]).withColumn("seen", F.expr("n_word - n_joint + met"))
+    share, rate = "(met / seen)", f"(contexts / {total}D)"
+    apart = (
+        f"seen * ({share} * ln({share} / {rate})"
+        f" + IF(seen = met, 0D, (1 - {share}) * ln((1 - {share}) / (1 - {rate}))))"
     )
-    counts = words.join(narrow(terms), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n_word"))
-    measured = enrich(joint, counts, ["word"]).selectExpr(
-        "word",
-        f"log2(CAST(n_joint AS DOUBLE) * {total} / n_entity / n_word) / log2({total} / n_entity) AS disclosure",
+    strong = (
+        measured.filter(f"n_entity < {total} AND {share} > {rate}").filter(f"{apart} >= {needed}")
+        .selectExpr(
+            "word",
+            f"log2(CAST(n_joint AS DOUBLE) * {total} / n_entity / n_word) / log2({total} / n_entity) AS disclosure",
+        )
+        .groupBy("word")
+        .agg(F.max("disclosure").alias("disclosure"))
     )
-    strong = measured.groupBy("word").agg(F.max("disclosure").alias("disclosure"))
     return strong.filter(F.col("disclosure") >= GENERALISE)
 
 
@@ -155,7 +197,8 @@ def find_personal(docs: DataFrame) -> DataFrame:
     Kinds are those of the base and ``term`` (to generalise) and ``drop`` (to remove).
     """
     rows = positioned(docs)
-    terms = stored(disclosing_terms(rows), "pii-disclosing")
+    both = disclosing_terms(rows, True).union(disclosing_terms(rows, False))
+    terms = stored(both.groupBy("word").agg(F.max("disclosure").alias("disclosure")), "pii-disclosing")
     hits = rows.select("_row", F.explode(F.expr(f"array_distinct(regexp_extract_all(lower(text), '{TERM}', 0))")).alias("word"))
     known = hits.join(narrow(terms), "word").groupBy("_row").agg(
         F.collect_set(F.when(F.col("disclosure") < REMOVE, F.col("word"))).alias("soft"),

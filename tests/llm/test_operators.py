@@ -424,6 +424,16 @@ def test_words_that_disclose_an_entity_become_spans(stored_docs):
     assert clean[10] == texts[10]
 
 
+def test_rare_entities_share_evidence_and_any_word_counts(stored_docs):
+    plain = [f"{' '.join(prose(i, 12, 60))}" for i in range(300)]
+    texts = [f"{' '.join(prose(900 + i, 12, 60))} ab user4711 at p{i}@ship.org" for i in range(12)]
+    texts += [f"captain 李明\n{' '.join(prose(700 + i, 12, 60))}\nzed@sea.net" for i in range(12)]
+    found = {r.doc_id: {(s.kind, s.value) for s in r.spans} for r in pii.find_personal(stored_docs(texts + plain)).collect()}
+    assert {v for _, v in found[0]} >= {"p0@ship.org", "ab", "user4711"}
+    assert {v for _, v in found[12]} >= {"zed@sea.net", "captain", "李明"}
+    assert not any(found[i] for i in range(24, len(found)))
+
+
 # 7 Alike documents
 
 
