@@ -1,15 +1,15 @@
 """Operator 5: lines that repeat an earlier line, found by an exact set-similarity join.
 
 In DataFrame and SQL functions only. A line is the set of its words in lower case, cut at space
-and the controls 9 to 13; lines with fewer than :data:`LEAST_WORDS` different words are left
-alone. Two lines match if their Jaccard similarity is at least 0.8. A line is removed if any
+and the controls 9 to 13; lines without words are left alone. Two lines match if their Jaccard similarity is at least 0.8. A line is removed if any
 earlier line matches it; earlier means a smaller id, then an earlier row, then a smaller line
 number. The test is exact:
 
 * Rarity: words are counted over all lines in ``2 ** 20`` hashed cells. The words of a line are
   ordered by the count of their cell, then by hash; any fixed order is right, and a rare one
   makes short lists.
-* Lines with equal sets become one, at its first place.
+* Lines with equal sets become one, at its first place. Sets of fewer than four words match only
+  equal ones, so they are in no pairs.
 * Prefix filter: matching lines share one of their first ``n - ceil(0.8 n) + 1`` words.
 * Length filter, positional filter, and a filter on 64 parities: each word in one line only
   flips one, so too many different parities prove that too many words differ.
@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from lakeconform.llm.common import narrow, stored
 from lakeconform.operators.joins import enrich
 
-LEAST_WORDS = 3
+LEAST_WORDS = 1
+# Sets below this size match only equal ones: 3 to 4 is under 0.8.
+LEAST_PAIRED = 4
 CELLS = 1 << 20
 PLACE = "struct<doc_id:bigint,_row:bigint,line_no:int>"
 
@@ -157,7 +159,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rows, classes = rows_of(docs), rarity(docs)
     sets = stored(distinct_lines(rows, classes), "lines")
     # First: the earliest line of about the same size with the same rarest word.
-    rarest = sets.select(
+    larger = sets.filter(F.col("n") >= LEAST_PAIRED)
+    rarest = larger.select(
         F.expr("prefix[0]").alias("word"),
         F.floor(F.log("n") / F.log(F.lit(1.25))).alias("band"),
         "place",
@@ -170,7 +173,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     settled = stored(later_of(verified(pairs, sets, rows, classes), sets), "lines-settled")
     # Then every pair of which one is not settled yet.
     done = settled.select("key", F.lit(True).alias("done"))
-    marked = sets.select("key", "n", "signs", "prefix").join(narrow(done), "key", "left")
+    marked = larger.select("key", "n", "signs", "prefix").join(narrow(done), "key", "left")
     entries = marked.select(
         F.coalesce("done", F.lit(False)).alias("done"),
         "key",

@@ -360,6 +360,17 @@ def test_a_large_group_of_near_copies_of_a_line(stored_docs):
     assert [(r.doc_id, r.n_chars) for r in kept.collect()] == [(0, len(texts[0]))]
 
 
+def test_short_repeated_lines_are_removed(stored_docs):
+    texts = ["one\nTwo words\n同じ文がここにある", "two  WORDS\nother\none", "同じ文がここにある\n\n \none two\n", "a b c\na b c d\nc b a"]
+    found = line_dedup.remove_repeats(stored_docs(texts)).collect()
+    assert {r.doc_id: (r.text, r.n_removed, r.kept) for r in found} == {
+        0: (texts[0], 0, True),
+        1: ("other", 2, True),
+        2: ("\n \none two\n", 1, True),
+        3: ("a b c\na b c d", 1, True),
+    }
+
+
 # 6 Personal data
 
 PATTERNS = {
