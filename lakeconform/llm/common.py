@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """The frame with ``_row``: the number of its file, by path, and the row's place in the file.
+
+    Unlike a number given while scanning, it does not depend on how files are split, and so not
+    on the executors at hand. A frame that is not read from Parquet is stored with its numbers.
+    """
+    try:
+        found = df.withColumns({"_file": F.col("_metadata.file_path"), "_index": F.col("_metadata.row_index")})
+        paths = sorted(r[0] for r in found.select("_file").distinct().collect())
+    except AnalysisException:
+        return stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    files = df.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), "_file string, _number bigint")
+    row = F.expr("shiftleft(_number, 40) | _index").alias("_row")
+    return found.join(F.broadcast(files), "_file").select(*[f"`{c}`" for c in df.columns], row)
+
+
 def narrow(df: DataFrame) -> DataFrame:
     """Broadcast a stored frame of narrow rows if its counted size allows, else leave it."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeconform.llm.common import narrow, stored
+from lakeconform.llm.common import narrow, placed, stored
 from lakeconform.operators.joins import enrich
 
 LEAST_WORDS = 1
@@ -47,10 +47,6 @@ WORDS = (
 IDENTITY = (1 << 54) - 1
 
 
-def rows_of(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
-
-
 def lines_of(rows: DataFrame) -> DataFrame:
     """Each line with its place and the hashes of its different words."""
     lines = rows.select(
@@ -62,10 +58,10 @@ def lines_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def rarity(docs: DataFrame) -> Column:
+def rarity(rows: DataFrame) -> Column:
     """Count class of every cell, eight steps to a doubling, as one array of fixed length."""
     counted = stored(
-        lines_of(rows_of(docs))
+        lines_of(rows)
         .select(F.explode("hashes").alias("h"))
         .groupBy(F.expr(f"CAST(h & {CELLS - 1} AS INT)").alias("cell"))
         .agg(F.count("*").alias("n")),
@@ -154,9 +150,9 @@ def later_of(matches: DataFrame, sets: DataFrame) -> DataFrame:
     return later.groupBy("key").agg(F.min("earliest").alias("earliest"))
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(rows: DataFrame) -> DataFrame:
     """``_row`` and the numbers of the lines to remove from it, for rows that lose any."""
-    rows, classes = rows_of(docs), rarity(docs)
+    classes = rarity(rows)
     sets = stored(distinct_lines(rows, classes), "lines")
     # First: the earliest line of about the same size with the same rarest word.
     larger = sets.filter(F.col("n") >= LEAST_PAIRED)
@@ -213,14 +209,11 @@ def _rebuilt(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
     (the text without repeated lines) and ``_kept``; and the other name of each column.
     """
-    gone = removed_lines(docs)
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     text = names["text"]
-    joined = (
-        docs.toDF(*names.values())
-        .withColumn("_row", F.monotonically_increasing_id())
-        .join(narrow(gone), "_row", "left")
-    )
+    rows = placed(docs.toDF(*names.values()))
+    own = [F.col(names[c]).alias(c) for c in ("doc_id", "text")]
+    joined = rows.join(narrow(removed_lines(rows.select(*own, "_row"))), "_row", "left")
     lines = f"split({text}, '\\n', -1)"
     left = f"array_except(sequence(0, size({lines}) - 1), removed)"
     rebuilt = F.expr(

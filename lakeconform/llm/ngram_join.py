@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeconform.llm.common import narrow, slices, stored
+from lakeconform.llm.common import narrow, placed, slices, stored
 from lakeconform.llm.textarrays import WHITE, shingles_of, words_of
 from lakeconform.operators.joins import enrich
 
@@ -84,7 +84,7 @@ def _sets(
 
 def positioned(docs: DataFrame) -> DataFrame:
     """Ids and texts with the row's position in the stored table."""
-    return docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+    return placed(docs.select("doc_id", "text"))
 
 
 def word_classes(docs: DataFrame) -> np.ndarray:
@@ -150,7 +150,7 @@ def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     names=["doc_id", "_row", "n", "set_key", *SIGNS, "prefix"],
                 )
 
-    picked = positioned(docs)
+    picked = docs.select("doc_id", "text", "_row")
     kind = picked.schema["doc_id"].dataType.simpleString()
     signs = ", ".join(f"{s} bigint" for s in SIGNS)
     schema = f"doc_id {kind}, _row bigint, n bigint, set_key binary, {signs}, prefix array<bigint>"
@@ -258,7 +258,7 @@ def linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, perce
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
     wanted = stored(wanted.join(rows.select("rid", "_row"), "rid"), "ngram-wanted")
-    found = positioned(docs).join(narrow(wanted), "_row")
+    found = docs.join(narrow(wanted), "_row")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,7 +327,7 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Every document with its row, and every row with its component's root."""
+    """Every document with its row, and every row with its component's root; ``docs`` are :func:`positioned`."""
     table = stored(incidence(docs, width, percent), "ngram-rows")
     signs = [F.first(s).alias(s) for s in SIGNS]
     rows = (
@@ -383,7 +383,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
 
 def alike_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Every document with its set size and the smallest id of its component."""
-    table, labelled = classes(docs, width, percent)
+    table, labelled = classes(positioned(docs), width, percent)
     least = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_set = enrich(labelled.select("set_key", "root"), least, ["root"]).drop("root")
     return enrich(table.select("doc_id", "n", "set_key"), by_set, ["set_key"]).select(
@@ -395,15 +395,16 @@ def alike_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that of the smallest id; all columns are kept."""
-    table, labelled = classes(docs, width, percent)
+    # Names of its own, so that no column of the documents is hidden.
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    numbered = placed(docs.toDF(*names.values()))
+    own = [F.col(names[c]).alias(c) for c in ("doc_id", "text")]
+    table, labelled = classes(numbered.select(*own, "_row"), width, percent)
     stays = labelled.groupBy("root").agg(F.min("one").alias("stays"))
     by_set = enrich(labelled.select("set_key", "root"), stays, ["root"]).select(
         "set_key", F.col("stays._row").alias("stays")
     )
     goes = enrich(table.select("_row", "set_key"), by_set, ["set_key"]).filter("_row <> stays")
     goes = stored(goes.select("_row"), "ngram-goes")
-    # Names of its own, so that no column of the documents is hidden.
-    numbered = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
-    numbered = numbered.withColumn("_row", F.monotonically_increasing_id())
     stay = numbered.join(narrow(goes), "_row", "left_anti").drop("_row")
     return stay.toDF(*docs.columns)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeconform.llm.common import narrow, stored
+from lakeconform.llm.common import narrow, placed, stored
 from lakeconform.operators.joins import enrich
 
 CHANCE = 0.05
@@ -110,7 +110,7 @@ def entities(column: str) -> str:
 
 def positioned(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit("")).alias("text")
-    return docs.select("doc_id", text).withColumn("_row", F.monotonically_increasing_id())
+    return placed(docs.select("doc_id", text))
 
 
 def units_of(rows: DataFrame, lines: bool) -> DataFrame:

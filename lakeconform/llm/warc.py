@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeconform.llm.common import narrow, numbered, scratch_path, slices, stored
+from lakeconform.llm.common import narrow, numbered, placed, scratch_path, slices, stored
 from lakeconform.operators.joins import enrich
 
 ROLL_BYTES = 8_000_000
@@ -80,7 +80,7 @@ def record(page: dict, date: str) -> str:
 
 
 def positioned(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", "url", "html").withColumn("_row", F.monotonically_increasing_id())
+    return placed(pages.select("page_id", "url", "html"))
 
 
 def revisits(pages: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline
 from lakeconform.llm import (
     bpe,
+    common,
     decontaminate,
     importance,
     line_dedup,
@@ -68,6 +69,26 @@ def test_defined_results_of_odd_rows(odd_docs):
     assert ngram_join.keep_one(odd_docs).count() == 10
 
 
+def test_row_numbers_do_not_depend_on_the_splits(spark, tmp_path):
+    rows = [(i, f"text {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    df.write.option("parquet.block.size", 1024).parquet(str(tmp_path / "d"))
+    seen = []
+    try:
+        for parts in (1, 40):
+            spark.conf.set("spark.sql.files.minPartitionNum", parts)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            rows = ngram_join.positioned(spark.read.parquet(str(tmp_path / "d")))
+            seen.append((rows.rdd.getNumPartitions(), {r.doc_id: r._row for r in rows.collect()}))
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0][0] != seen[1][0] and seen[0][1] == seen[1][1]
+    assert len(set(seen[0][1].values())) == 400
+    plain = common.placed(spark.range(50).repartition(4))
+    assert len({r._row for r in plain.collect()}) == 50
+
+
 @pytest.mark.parametrize("make", ["odd", "empty"])
 def test_stages_take_odd_documents(spark, odd_docs, stored_docs, tmp_path, labels, bench, make):
     docs = odd_docs if make == "odd" else stored_docs([])
