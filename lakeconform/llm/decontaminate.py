@@ -2,7 +2,8 @@
 
 Words are runs of ASCII letters and digits and of characters beyond ASCII, ASCII letters in
 lower case. An item and a window with as many words are compared as multisets of five-word
-shingles (items with fewer words: the whole item). A window matches if
+shingles (items with fewer words: the whole item). A text with fewer words than the item is
+compared whole, as the one window. A window matches if
 
 * its 64-bit SimHash is within ``radius`` bits of the item's. The 64 bits are cut into
   :data:`BLOCKS`; two prints within the radius differ by at most ``radius // len(BLOCKS)`` in
@@ -103,8 +104,9 @@ class Items:
         place = np.repeat(hits, high - low)
         item = owner[np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])]
         found = []
-        for size in np.unique(self.sizes[item]).tolist():
-            own = self.sizes[item] == size
+        sizes = np.minimum(self.sizes[item], len(words))
+        for size in np.unique(sizes).tolist():
+            own = sizes == size
             span = size - width + 1
             starts = np.unique((place[own][:, None] - np.arange(span)).ravel())
             starts = starts[(starts >= 0) & (starts + size <= len(words))]

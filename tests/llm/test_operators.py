@@ -277,6 +277,18 @@ def test_passages_are_found_as_by_brute_force(spark, stored_docs):
     assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - found.keys()
 
 
+def test_a_text_shorter_than_the_item_is_compared_whole(spark, stored_docs):
+    item = prose(1, 100)
+    texts = [" ".join(item[:50] + item[51:]), " ".join(item[1:]), " ".join(item[:70]), " ".join(item[:3]), ""]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(item[:60]))], "item_id bigint, text string")
+    docs = stored_docs(texts)
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contamination(docs, bench).collect()}
+    assert {d for d, i in found if i == 7} == {0, 1}
+    assert (found[0, 7].start_word, found[0, 7].n_words) == (0, 99)
+    assert math.isclose(found[0, 7].similarity, 91 / 100)
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {3, 4}
+
+
 def test_items_in_blocks_give_the_same(spark, stored_docs, monkeypatch):
     items = [(i, " ".join(prose(100 + i, 20))) for i in range(12)]
     docs = stored_docs([f"{items[i % 12][1]} and {items[(i + 5) % 12][1]}" for i in range(20)])
