@@ -207,6 +207,16 @@ def test_unlabelled_documents_are_told_apart(labelled):
     assert {r.doc_id for r in sample.collect()} == {r.doc_id for r in found if r.kept}
 
 
+def test_the_order_of_common_words_tells_documents_apart(spark, stored_docs):
+    texts = [" ".join(prose(i, 40, 300)) + (" wyrm rots" if i % 6 == 0 else " rots wyrm") for i in range(300)]
+    labels = spark.createDataFrame(
+        [(i, 1, int(i % 6 == 0)) for i in range(300) if i % 7], "doc_id bigint, quality int, toxic int"
+    )
+    unseen = [r for r in importance.resample(stored_docs(texts), labels).collect() if r.doc_id % 7 == 0]
+    toxic = [r.score for r in unseen if r.doc_id % 6 == 0]
+    assert max(toxic) < 0 and max(toxic) < min(r.score for r in unseen if r.doc_id % 6)
+
+
 def test_counts_cover_all_rows(labelled):
     docs, labels = labelled
     counts = importance.count_grams(docs, importance.bounded_labels(labels, 10**6)).collect()
