@@ -45,8 +45,3 @@ def apply(either_mode):
         return [row[1] for row in df.select("i", function("x")).orderBy("i").collect()]
 
     return run
-
-
-def rows_of(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(row) for row in picked.collect()), key=repr)

@@ -1,6 +1,6 @@
 import random
 
-from conftest import rows_of
+from support import rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

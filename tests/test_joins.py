@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows_of
+from support import rows_of
 
 from lakeconform.operators.attribution import attribute_unique, attribution_summary
 from lakeconform.operators.joins import enrich

@@ -3,7 +3,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import rows_of
+from support import rows_of
 
 from lakeconform.plans import gates, insights
 from lakeconform.plans.pipeline import GOLD_DATASETS, run_pipeline

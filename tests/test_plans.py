@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows_of
+from support import rows_of
 
 from lakeconform.plans import gates, insights, marts
 from lakeconform.plans.entities import (

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows_of
+from support import rows_of
 from pyspark.sql import functions as F
 
 from lakeconform.operators.snapshots import incremental, latest_snapshot, next_watermark
