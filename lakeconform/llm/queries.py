@@ -15,6 +15,7 @@ from lakeconform.llm import (
     ngram_join,
     ownership,
     pii,
+    prefix_trie,
     quality_rules,
     sharding,
     warc,
@@ -69,6 +70,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         op8_warc,
         op9_feistel_sharding,
         op10_bpe,
+        op13_prefix_trie,
     )
     named = {query.__name__: query for query in found}
     return named | {"pipeline": corpus_pipeline.run}
@@ -104,5 +110,73 @@ FROM payloads LEFT JOIN firsts ON digest = sha256(payload)
 """
 
 
+# The prefixes of every conversation spelled out; CRC-32 by its polynomial, bit by bit.
+TRIE_SQL = """
+WITH digests AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+turns AS (
+  SELECT conv_id, chars, digest,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM digests
+),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(4294967295::UBIGINT, list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda c: CAST(ascii(c) AS UBIGINT))),
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1))))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM digests)
+),
+parts AS (
+  SELECT heads.conv_id, 0 AS part, pos, chars, digest
+  FROM heads JOIN turns ON turns.conv_id = base AND pos <= h
+  UNION ALL
+  SELECT heads.conv_id, 1, pos, chars, digest
+  FROM heads JOIN turns ON turns.conv_id = heads.conv_id AND pos > h
+),
+rebuilt AS (
+  SELECT conv_id, chars, digest, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth
+  FROM parts
+),
+prefixes AS (
+  SELECT conv_id, 0 AS depth, 0 AS chars, '' AS prefix FROM heads
+  UNION ALL
+  SELECT conv_id, depth, chars,
+    md5(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) FROM rebuilt
+),
+lengths AS (SELECT conv_id, max(depth) AS length FROM prefixes GROUP BY 1),
+nodes AS (
+  SELECT depth, prefix, min(prefixes.conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(prefixes.conv_id AS VARCHAR), ',' ORDER BY prefixes.conv_id)
+      FILTER (WHERE depth = length), '')) AS ends
+  FROM prefixes JOIN lengths USING (conv_id) GROUP BY 1, 2
+),
+linked AS (
+  SELECT nodes.*, above.prefix AS above
+  FROM nodes LEFT JOIN prefixes above ON above.conv_id = nodes.conv_id AND above.depth = nodes.depth - 1
+),
+children AS (SELECT depth - 1 AS depth, above AS prefix, count(*) AS n FROM linked WHERE depth > 0 GROUP BY 1, 2),
+counted AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, prefix)
+),
+subtrees AS (
+  SELECT above.depth, above.prefix, sum((n - 1) * counted.chars) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+  FROM counted JOIN prefixes above ON above.conv_id = counted.conv_id AND above.depth <= counted.depth
+  GROUP BY 1, 2
+)
+SELECT counted.conv_id, CAST(counted.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id,
+  CAST(counted.n AS BIGINT) AS n_convs, CAST(counted.n_children AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, counted.ends AS ends_sha256
+FROM counted
+JOIN subtrees ON subtrees.depth = counted.depth AND subtrees.prefix = counted.prefix
+JOIN linked ON linked.depth = counted.depth AND linked.prefix = counted.prefix
+LEFT JOIN nodes parent ON parent.depth = counted.depth - 1 AND parent.prefix = linked.above
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": WARC_SQL}
+    return {"op8_warc": WARC_SQL, "op13_prefix_trie": TRIE_SQL}
