@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as named queries over whole tables, with their SQL."""
+"""The operators and the pipeline as named queries over whole tables, with their SQL."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeconform.llm import (
+    alignment,
     bpe,
     decontaminate,
     importance,
@@ -18,6 +19,7 @@ from lakeconform.llm import (
     prefix_trie,
     quality_rules,
     sharding,
+    toxicity,
     warc,
 )
 from lakeconform.llm.common import table
@@ -70,6 +72,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align_documents(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -88,6 +101,8 @@ def queries() -> dict[str, Query]:
         op8_warc,
         op9_feistel_sharding,
         op10_bpe,
+        op11_toxicity,
+        op12_alignment,
         op13_prefix_trie,
     )
     named = {query.__name__: query for query in found}
