@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,13 +56,8 @@ class Pieces:
             for i, name in enumerate(names)
         ]
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.model.encode(texts, num_threads=1)
-        return [np.array(f, np.int64) for f in found]
-
-
-def spelt(tokens: list[bytes], ids: np.ndarray) -> bytes:
-    return b"".join([tokens[i] for i in ids.tolist()])
+    def spell(self, ids: list[int]) -> bytes:
+        return b"".join([self.tokens[i] for i in ids])
 
 
 class Aligner:
@@ -76,15 +72,16 @@ class Aligner:
         )
         self.written = [f"{i}{sign}" for i in range(max(len(self.a.tokens), len(self.b.tokens))) for sign in ",|;"]
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of A and B per text; none where they do not spell out the space and the text."""
-        ids_a = [i.astype(np.int64) for i in self.a.encode_batch([" " + t for t in texts])]
-        ids_b = self.b.encode_batch(texts)
-        none = np.zeros(0, np.int64)
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
+        """Ids of A and B per text; none where B does not spell out the space and the text.
+
+        A always does: its tokens are the bytes of the text it was given, cut into runs.
+        """
+        ids_a = self.a.encode_batch([" " + t for t in texts])
+        ids_b = self.b.model.encode(texts, num_threads=1)
         for k, text in enumerate(texts):
-            plain = b" " + text.encode()
-            if not text or spelt(self.a.tokens, ids_a[k]) != plain or spelt(self.b.tokens, ids_b[k]) != plain:
-                ids_a[k] = ids_b[k] = none
+            if not text or self.b.spell(ids_b[k]) != b" " + text.encode():
+                ids_a[k], ids_b[k] = np.zeros(0, "<u4"), []
         return ids_a, ids_b
 
 
@@ -125,7 +122,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
         divided = cut >= 0
         found.append(cut[divided])
         low, high, cut = low[divided], high[divided], cut[divided]
-        low, high = np.concatenate([low, cut + 1]), np.concatenate([cut, high])
+        # Both halves, in the order of the text, so that the next bisections run through it.
+        low, high = np.column_stack([low, cut + 1]).ravel(), np.column_stack([cut, high]).ravel()
         open_ = low < high
         low, high = low[open_], high[open_]
     return np.sort(np.concatenate(found))
@@ -153,24 +151,36 @@ def linked(group_a: np.ndarray, group_b: np.ndarray, ids_a: np.ndarray, ids_b: n
 
 
 def distinct(doc: np.ndarray, codes: np.ndarray, count: np.ndarray):
-    """Each document's distinct codes with summed multiplicity, by document."""
-    order = np.lexsort((codes, doc))
-    doc, codes, count = doc[order], codes[order], count[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (codes[1:] != codes[:-1])
-    starts = np.flatnonzero(new)
-    return doc[starts], codes[starts], np.add.reduceat(count, starts) if len(starts) else count
+    """Each document's distinct codes with summed multiplicity, by document.
+
+    Ids have at most 20 bits and a batch at most a few thousand texts, so one word holds all three.
+    """
+    words = (doc << 40) | ((codes >> SHIFT) << 20) | (codes & LOW)
+    if len(count) and count.max() > 1:
+        words, place = np.unique(words, return_inverse=True)
+        count = np.bincount(place, count).astype(np.int64)
+    else:
+        words, count = np.unique(words, return_counts=True)
+    return words >> 40, (((words >> 20) & 0xFFFFF) << SHIFT) | (words & 0xFFFFF), count
+
+
+def groups_of(places: np.ndarray, size: int) -> np.ndarray:
+    """The group of each token when groups end at the given places."""
+    marks = np.zeros(size + 1, np.int64)
+    marks[places + 1] = 1
+    return np.cumsum(marks[:-1])
 
 
 def align_batch(model: Aligner, texts: list[str]) -> dict[str, list]:
     """Per text the counts, the groups' text form and the linked pairs with multiplicity."""
     per_a, per_b = model.encode(texts)
     n_a, n_b = (np.array([len(i) for i in per], np.int64) for per in (per_a, per_b))
-    ids_a, ids_b = np.concatenate(per_a), np.concatenate(per_b)
+    ids_a = np.concatenate(per_a).astype(np.int64)
+    ids_b = np.fromiter(chain.from_iterable(per_b), np.int64, int(n_b.sum()))
     ends_a, ends_b = np.cumsum(model.bytes_a[ids_a]), np.cumsum(model.bytes_b[ids_b])
     cuts = shared_cuts(ends_a, ends_b)
-    at = ends_a[cuts]
-    group_a, group_b = np.searchsorted(at, ends_a), np.searchsorted(at, ends_b)
+    group_a = groups_of(cuts, len(ends_a))
+    group_b = groups_of(np.searchsorted(ends_b, ends_a[cuts]), len(ends_b))
     doc_a = np.repeat(np.arange(len(texts)), n_a)
     group_doc = doc_a[cuts]
     owner, codes, count = linked(group_a, group_b, ids_a, ids_b, len(cuts))
