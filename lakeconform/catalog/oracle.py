@@ -548,4 +548,5 @@ def with_steps(sql: str) -> str:
         return sql
     # Steps used more than once are computed once.
     parts = ",\n".join(f"{name} AS MATERIALIZED ({STEPS[name]})" for name in ordered)
-    return f"WITH {parts}\n{sql}"
+    # A text that begins with a comma brings steps of its own.
+    return f"WITH {parts}\n{sql.lstrip()}"

@@ -38,23 +38,23 @@ def attribute_unique(facts: DataFrame, memberships: DataFrame, teams: DataFrame)
     """Add ``team_id`` and ``team_id_origin`` to facts with ``source_team_id``,
     ``reported_by`` and ``team_name``. Row count and order of columns are kept.
 
-    Facts that already name their team pass by the join and are not shuffled.
+    Facts are evaluated once. Those that already name their team ask with a null key, which
+    matches nothing and which adaptive execution splits as it does any frequent key.
     """
     own = [F.col(name) for name in facts.columns]
-    named = facts.filter("source_team_id IS NOT NULL").select(
-        *own, F.col("source_team_id").alias("team_id"), F.lit(SOURCE).alias("team_id_origin")
+    asks = F.col("source_team_id").isNull()
+    asking = facts.withColumns(
+        {"_reporter": F.when(asks, F.col("reported_by")), "_name": F.when(asks, F.col("team_name"))}
     )
     matched = enrich(
-        facts.filter("source_team_id IS NULL"),
+        asking,
         unique_candidates(memberships, teams),
-        {"reported_by": "employee_email", "team_name": "team_name"},
-    )
-    origin = F.when(F.col("candidate_team_id").isNotNull(), RESOLVED).otherwise(UNRESOLVED)
-    return named.unionAll(
-        matched.select(
-            *own, F.col("candidate_team_id").alias("team_id"), origin.alias("team_id_origin")
-        )
+        {"_reporter": "employee_email", "_name": "team_name"},
     )
+    found = F.col("candidate_team_id")
+    origin = F.when(~asks, SOURCE).when(found.isNotNull(), RESOLVED).otherwise(UNRESOLVED)
+    team = F.coalesce("source_team_id", found)
+    return matched.select(*own, team.alias("team_id"), origin.alias("team_id_origin"))
 
 
 def attribution_summary(attributed: DataFrame) -> DataFrame:

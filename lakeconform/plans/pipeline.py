@@ -33,11 +33,13 @@ from lakeconform.plans.entities import (
     normalize_achievements,
 )
 from lakeconform.plans.gates import gate_findings, stage_metrics, write_manifest
+from lakeconform.plans.refresh import run_refresh
 from lakeconform.settings import Settings
 from lakeconform.sources.files import stringify_all
 from lakeconform.sources.lake import (
     Lake,
     count_written,
+    forget_marks,
     read_bronze,
     read_gold,
     read_silver,
@@ -460,6 +462,8 @@ def run_pipeline(
     route: str | None = None,
     options: Mapping[str, Mapping[str, object]] | None = None,
     keep_stage: bool = False,
+    incremental: bool = False,
+    buckets: int = 64,
 ) -> RunReport:
     """Run the wanted stages in order, write the manifest and apply the gates.
 
@@ -468,6 +472,10 @@ def run_pipeline(
     unless ``continue_on_error`` is set. What was then not built has a row ``SKIPPED``; a stage
     that breaks off has a row ``FAILED`` for ``*``. The run's intermediate tables are deleted at
     its end unless ``keep_stage`` is set.
+
+    With ``incremental`` only what is new since the kept watermarks is loaded and merged
+    (``plans.refresh``): all stages and entities, published together or not at all. The first
+    such run loads everything and lays the tables in ``buckets``; a full run forgets the marks.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
@@ -477,6 +485,8 @@ def run_pipeline(
     select_sources(entities, route, options)
     if "bronze" in stages and origin is None:
         raise ValueError("the bronze stage needs an origin")
+    if incremental and (dry_run or entities or set(stages) != set(STAGES)):
+        raise ValueError("an incremental run takes all stages and entities, and is never dry")
     run = Run(
         spark,
         lake,
@@ -493,7 +503,11 @@ def run_pipeline(
     rows: list[dict] = []
     ended = False
     try:
-        for stage in (name for name in STAGES if name in stages):
+        if incremental:
+            rows += run_refresh(run, origin, _measured, SILVER_ORDER, route, options, buckets)
+        elif not dry_run and "silver" in stages:
+            forget_marks(spark, lake)
+        for stage in (name for name in STAGES if name in stages and not incremental):
             if ended:
                 rows.append(_not_built(run, stage, "*", "an earlier stage failed"))
                 continue
@@ -515,6 +529,10 @@ def run_pipeline(
         write_manifest(metrics, lake.manifest())
     tolerances = {c.entity: c.tolerance for c in contracts(run.settings).values() if c.tolerance}
     found = gate_findings(
-        metrics, tolerances, run.settings.quarantine_tolerance, run.settings.fail_on_zero_rows
+        metrics,
+        tolerances,
+        run.settings.quarantine_tolerance,
+        # Nothing new is no failure.
+        run.settings.fail_on_zero_rows and not incremental,
     ).collect()
     return RunReport(metrics, sorted(tuple(f) for f in found))

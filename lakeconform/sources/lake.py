@@ -46,6 +46,21 @@ class Lake:
     def manifest(self) -> str:
         return f"{self.root}/lineage/manifest"
 
+    def changes(self, source: Source, batch_id: str) -> str:
+        """The raw rows that one incremental run has loaded."""
+        return f"{self.root}/changes/{source.system}/{source.entity}/load={batch_id}"
+
+    def open_facts(self) -> str:
+        """Achievements without a team of their own, by load, whatever became of them."""
+        return f"{self.root}/silver_open/achievements"
+
+    def marks(self) -> str:
+        return f"{self.root}/lineage/watermarks"
+
+    def edge(self, source: Source) -> str:
+        """The loaded rows that the next load may meet again."""
+        return f"{self.root}/lineage/edges/{source.entity}"
+
 
 def business_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if name not in LINEAGE]
@@ -124,11 +139,11 @@ def read_bronze(
 
 
 def read_silver(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
-    return spark.read.parquet(lake.silver(entity))
+    return spark.read.parquet(lake.silver(entity)).drop("_bucket")
 
 
 def read_gold(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
-    return spark.read.parquet(lake.gold(dataset))
+    return spark.read.parquet(lake.gold(dataset)).drop("_bucket")
 
 
 def count_written(spark: SparkSession, path: str) -> int:
@@ -175,6 +190,12 @@ def remove_stage(spark: SparkSession, lake: Lake, batch_id: str) -> None:
     store.delete(path, True)
 
 
+def forget_marks(spark: SparkSession, lake: Lake) -> None:
+    """After a full load the next incremental run starts afresh."""
+    store, path = _folder(spark, lake.marks())
+    store.delete(path, True)
+
+
 def snapshot_dates(spark: SparkSession, lake: Lake, source: Source) -> list[str]:
     """The ingest dates of a bronze entity in order, from the folder names; no row is read."""
     store, path = _folder(spark, lake.bronze(source))
