@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from lakeconform.llm import (
+    alignment,
     bpe,
     common,
     decontaminate,
@@ -15,10 +16,12 @@ from lakeconform.llm import (
     pii,
     quality_rules,
     sharding,
+    toxicity,
     warc,
 )
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @pytest.fixture
@@ -44,17 +47,19 @@ def every_operator(docs, labels, bench):
         8: lambda: warc.archive_and_read(docs.selectExpr("doc_id AS page_id", "lang AS url", "text AS html", "*")),
         9: lambda: sharding.shard_documents(docs),
         10: lambda: bpe.encode_documents(docs, PATH),
+        11: lambda: toxicity.score_documents(docs, labels),
+        12: lambda: alignment.align_documents(docs, PATH, PIECES),
     }
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 13))
 def test_odd_rows_come_out_once_each(odd_docs, labels, bench, n):
     found = every_operator(odd_docs, labels, bench)[n]().collect()
     ids = sorted(r[0] if r[0] is not None else -1 for r in found)
     assert ids == sorted([*range(8), 90, 90, -1, -1])
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 13))
 def test_empty_tables_give_empty_results(stored_docs, labels, bench, n):
     empty = stored_docs([])
     assert every_operator(empty, labels.limit(0), bench.limit(0))[n]().collect() == []

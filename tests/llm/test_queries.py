@@ -12,18 +12,19 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [*[f"op{n}" for n in range(1, 11)], "pipeline"]
+    assert [n.split("_")[0] for n in names] == [*[f"op{n}" for n in range(1, 14)], "pipeline"]
     assert set(names) <= entry.queries().keys()
 
 
-def test_archives_against_sql(spark):
+@pytest.mark.parametrize(("name", "table"), [("op8_warc", "pages"), ("op13_prefix_trie", "conversations")])
+def test_against_sql(spark, name, table):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_DIR}/pages.parquet'")
-    found = duck.execute(queries.oracle_sql()["op8_warc"])
+    duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    found = duck.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in found.description]
-    df = queries.queries()["op8_warc"](spark, SF_DIR)
+    df = queries.queries()[name](spark, SF_DIR)
     assert sorted(df.columns) == sorted(columns)
     assert sorted(map(repr, map(tuple, df.select(*columns).collect()))) == sorted(
         map(repr, found.fetchall())
