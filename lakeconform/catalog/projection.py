@@ -61,7 +61,7 @@ def engine_columns(engine: str) -> dict[str, dict[str, str]]:
             "start_date": f"CASE WHEN l_orderkey % 83 = 5 THEN {junk} ELSE {started} END"
         },
         "monthly_achievements": {
-            "month": f"CASE WHEN o_orderkey % 101 = 1 THEN 'last Tuesday' ELSE {reported} END"
+            "month": f"CASE WHEN o_orderkey % 101 = 1 THEN 'undated' ELSE {reported} END"
         },
     }
 
@@ -103,7 +103,7 @@ COLUMNS = {
         "location_code": "CASE WHEN c_custkey % 20 = 0 THEN '' ELSE "
         + _code("c_nationkey + 1", "LOC-")
         + " END",
-        "employment_type": "CASE WHEN c_custkey % 50 = 11 THEN 'Zero Hours' ELSE"
+        "employment_type": "CASE WHEN c_custkey % 50 = 11 THEN 'Seasonal' ELSE"
         " CASE c_custkey % 7 WHEN 0 THEN 'Full-Time' WHEN 1 THEN 'Full Time' WHEN 2 THEN 'FT'"
         " WHEN 3 THEN 'Employee' WHEN 4 THEN 'full-time' WHEN 5 THEN 'FTE'"
         " ELSE 'Part-Time' END END",

@@ -67,7 +67,7 @@ def test_employee_defects(spark):
             employee("EMP-1", status="terminated"),
             employee("EMP-1", status="Active"),
             employee("E2"),
-            employee("EMP-3", kind="Zero Hours"),
+            employee("EMP-3", kind="Seasonal"),
             employee("EMP-4", hired="2024-02-02"),
             employee("EMP-5", hired="soon"),
             employee("EMP-6", email="nobody"),
