@@ -23,11 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the cluster's shared folder, removed when the session's JVM ends.
 
-    The folder is ``spark.checkpoint.dir``; only a session without it (a test on one machine)
+    The folder is ``spark.checkpoint.dir``; only a session on one machine may do without it and
     gets a temporary one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
     path = f"{root.rstrip('/')}/lakeconform-llm/{name}-{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
