@@ -41,7 +41,7 @@ def export(spark, root, later: bool, take: float = 0.25):
             if source.entity in CUTS:
                 df = df.filter(F.coalesce(value <= F.lit(CUTS[source.entity]).cast("date"), F.lit(True)))
             else:
-                df = df.filter(~F.col(df.columns[0]).isin("LOC-07", "ORG-02"))
+                df = df.filter(F.coalesce(~F.col(df.columns[0]).isin("LOC-07", "ORG-02"), F.lit(True)))
         path = f"{root}/{source.system}/{source.file_name}"
         if source.file_format == "csv":
             df.write.option("header", "true").option("escape", '"').csv(path)
