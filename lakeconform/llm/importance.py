@@ -1,19 +1,19 @@
 """Operator 3: a quality classifier by importance resampling.
 
 Two generative models say how likely each hashed n-gram is to occur in a document: one of the
-target (documents labelled good and not toxic), one of the raw text (the whole corpus). As the
-target is part of the raw text, an n-gram that only target-like documents have is expected in
-``raw count * share`` of the target's documents, where ``share`` is the part of such documents
-that the fit has seen. The weight of an n-gram is the logarithm of found over expected, never
-above zero, and taken at the upper end of its confidence interval, so that rare n-grams weigh
-nothing until the counts prove them missing from the target. A document's score is the sum over
-its distinct n-grams, the logarithm of its importance; the documents with the ``k`` largest
-``score / temperature + Gumbel noise`` are a sample without replacement in proportion to the
-tempered importance (Gumbel top-k). ``k`` is the number of documents whose score clears the
-level that separates a held-out fifth of the labels best.
+target (documents labelled good and not toxic), one of the raw text (the whole corpus). The weight
+of an n-gram is the logarithm of its rate in the target over its rate in the raw text, of either
+sign, drawn towards zero by :data:`DEVIATIONS` standard errors, so that it is zero where the counts
+do not tell the rates apart. A document's score is the sum over its distinct n-grams, the logarithm
+of its importance; the documents with the ``k`` largest ``score / temperature + Gumbel noise`` are a
+sample without replacement in proportion to the tempered importance (Gumbel top-k). ``k`` is the
+number of documents whose score clears the level that separates a held-out fifth of the labels best.
+
+The models have 2^20 cells at any size of the corpus. N-grams that share a cell add their rates, so
+what rare ones add to a frequent one's rate does not grow with the corpus.
 
 N-grams: words up to white space, words up to any sign, pairs of neighbouring words up to any
-sign, runs of signs, and a word three times in a row; ASCII letters in lower case, hashed to 24 bits.
+sign, runs of signs, and a word three times in a row; ASCII letters in lower case, hashed to 20 bits.
 
 Null and empty texts have no n-grams and score 0. Noise comes from a hash of id and text, so
 the result is the same on every run; repeated rows fare alike as long as they do not tie at the
@@ -33,22 +33,20 @@ from pyspark.sql import functions as F
 from lakeconform.llm.common import slices, stored
 from lakeconform.llm.textarrays import ALNUM, BASE, WHITE, mixed, words_of
 
-BITS = 24
+BITS = 20
+CELLS = 1 << BITS
 # Bound on the labelled rows used: a sample by hash of the id beyond it.
 LABELLED_ROWS = 200_000
-# Bound on the n-grams with a weight that tasks are sent: the heaviest.
-WEIGHTED = 1 << 18
 DEVIATIONS = 2.5
 PRIOR = 2.0
-LEAST_WEIGHT = 0.25
-TEMPERATURE = 0.02
+TEMPERATURE = 0.25
 HELD_OUT = 5
 SEED = 11
 SIGNS = WHITE & ~ALNUM
 
 
-def grams_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bucket of the distinct hashed n-grams of each text, sorted by row."""
+def all_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and cell of every hashed n-gram of each text, repeated ones included, in no order."""
     found = []
     shift = np.uint64(64 - BITS)
     for salt, mask in enumerate((WHITE, ALNUM, SIGNS)):
@@ -63,9 +61,19 @@ def grams_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             again = again[row[again] == row[again + 2]]
             found.append((row[again], np.full(len(again), mixed(np.array([99], np.uint64))[0] >> shift)))
     rows = np.concatenate([r for r, _ in found]).astype(np.int64)
-    buckets = np.concatenate([b for _, b in found]).astype(np.int64)
-    codes = np.unique((rows << BITS) | buckets)
-    return codes >> BITS, codes & ((1 << BITS) - 1)
+    return rows, np.concatenate([c for _, c in found]).astype(np.int64)
+
+
+def distinct(rows: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair of row and cell once, sorted."""
+    codes = np.sort((rows << BITS) | cells)
+    codes = codes[np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)]]
+    return codes >> BITS, codes & (CELLS - 1)
+
+
+def grams_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and cell of the distinct hashed n-grams of each text, sorted by row."""
+    return distinct(*all_grams(texts))
 
 
 def bounded_labels(labels: DataFrame, bound: int) -> DataFrame:
@@ -89,22 +97,20 @@ def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = marked.select("text", F.expr("coalesce(good AND NOT held, false)").alias("fit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = (np.zeros(1 << BITS, np.int32) for _ in range(2))
+        raw, target = (np.zeros(CELLS, np.int64) for _ in range(2))
         seen = fitted = 0
         for batch in batches:
             fit = batch.column("fit").to_numpy(zero_copy_only=False)
             seen, fitted = seen + len(fit), fitted + int(fit.sum())
             for a, b in slices(batch.column("text")):
-                rows, buckets = grams_of(batch.column("text").slice(a, b - a))
-                for total, part in ((raw, buckets), (target, buckets[fit[a:b][rows]])):
-                    which, n = np.unique(part, return_counts=True)
-                    total[which] += n.astype(np.int32)
+                rows, cells = grams_of(batch.column("text").slice(a, b - a))
+                raw += np.bincount(cells, minlength=CELLS)
+                target += np.bincount(cells[fit[a:b][rows]], minlength=CELLS)
         which = np.flatnonzero(raw)
         for at in range(0, len(which), 100_000):
             w = which[at : at + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(w), pa.array(raw[w].astype(np.int64)), pa.array(target[w].astype(np.int64))],
-                names=["bucket", "raw", "target"],
+                [pa.array(w), pa.array(raw[w]), pa.array(target[w])], names=["bucket", "raw", "target"]
             )
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1]), pa.array([seen]), pa.array([fitted])], names=["bucket", "raw", "target"]
@@ -114,47 +120,45 @@ def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return each.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def fit_weights(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets with a weight, sorted, and their weights; at most :data:`WEIGHTED`."""
-    counts = stored(count_grams(docs, labels), "grams")
-    sizes = counts.filter("bucket = -1").first()
-    fit = labels.filter("NOT held").agg(F.avg(F.col("good").cast("double"))).first()[0]
-    if not sizes or not sizes["target"] or not fit:
-        return np.zeros(0, np.int64), np.zeros(0)
-    share = sizes["target"] / sizes["raw"] / fit
-    expected = f"(raw * {share!r}D)"
-    ratio = f"(target + {PRIOR}D + {DEVIATIONS}D * sqrt({expected})) / ({expected} + {PRIOR}D)"
-    heavy = (
-        counts.filter("bucket >= 0")
-        .select("bucket", F.expr(f"least(0D, ln({ratio}))").alias("weight"))
-        .filter(F.col("weight") <= -LEAST_WEIGHT)
-        .orderBy("weight", "bucket")
-        .limit(WEIGHTED)
-        .toPandas()
-        .sort_values("bucket")
-    )
-    return heavy["bucket"].to_numpy(np.int64), heavy["weight"].to_numpy(np.float64)
+def weights_of(raw: np.ndarray, target: np.ndarray, share: float) -> np.ndarray:
+    """Log ratio of target to raw rate, drawn towards zero; ``share`` is target of raw documents."""
+    expected = raw * share + PRIOR
+    ratio = np.log((target + PRIOR) / expected)
+    return np.sign(ratio) * np.maximum(0.0, np.abs(ratio) - DEVIATIONS / np.sqrt(expected))
 
 
-def score_documents(
-    docs: DataFrame, buckets: np.ndarray, weights: np.ndarray, keep: list[str], text: str = "text"
-) -> DataFrame:
+def fit_weights(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+    """The weight of every cell. The driver gets at most 2^20 counts, at any size of the corpus."""
+    counts = stored(count_grams(docs, labels), "grams")
+    sizes = counts.filter("bucket = -1").first()
+    weights = np.zeros(CELLS)
+    if sizes and sizes["target"]:
+        # A cell that weighs nothing need not come back.
+        share = sizes["target"] / sizes["raw"]
+        told = f"abs(ln((target + {PRIOR}D) / (raw * {share!r}D + {PRIOR}D)))"
+        found = counts.filter(f"bucket >= 0 AND {told} > 0.99D * {DEVIATIONS}D / sqrt(raw * {share!r}D + {PRIOR}D)")
+        found = found.toPandas()
+        cells = found["bucket"].to_numpy(np.int64)
+        weights[cells] = weights_of(found["raw"].to_numpy(), found["target"].to_numpy(), share)
+    return weights
+
+
+def score_documents(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
     """Every document's columns ``keep`` with ``_key``, a hash of its text, and ``score``.
 
     The text is shipped once; it comes back only if it is among ``keep``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted = np.zeros(1 << BITS, bool)
-        weighted[buckets] = True
+        weighted = weights != 0
         for batch in batches:
             texts = batch.column(text)
             scores = np.zeros(batch.num_rows)
             for a, b in slices(texts):
-                rows, found = grams_of(texts.slice(a, b - a))
-                hits = weighted[found]
-                at = np.searchsorted(buckets, found[hits])
-                scores[a:b] = np.bincount(rows[hits], weights[at], b - a)
+                rows, cells = all_grams(texts.slice(a, b - a))
+                hits = weighted[cells]
+                rows, cells = distinct(rows[hits], cells[hits])
+                scores[a:b] = np.bincount(rows, weights[cells], b - a)
             kept = batch.select([*keep, "_key"])
             yield kept.append_column("score", pa.array(np.round(scores, 4)))
 
@@ -167,9 +171,10 @@ def score_documents(
 def separating_level(scores: DataFrame, labels: DataFrame) -> float:
     """The score below which a held-out document is more likely not of the target.
 
-    A good document lost counts twice. Scores are summed in steps of a tenth, from -50 up.
+    A good document lost counts twice. Scores are summed in steps of a tenth; there are at most as
+    many steps as held-out labels, which are bounded.
     """
-    step = F.floor(F.greatest("score", F.lit(-50.0)) * 10).alias("step")
+    step = F.floor(F.col("score") * 10).alias("step")
     rows = (
         scores.join(F.broadcast(labels.filter("held")), "doc_id")
         .groupBy(step)
@@ -222,28 +227,28 @@ def top_k_level(keyed: DataFrame, k: int) -> float:
             return low
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame, float]:
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, float]:
     """The model, the stored scores with their keys, and the least key of the sample."""
     known = stored(bounded_labels(labels, LABELLED_ROWS), "labels")
-    buckets, weights = fit_weights(docs, known)
-    scores = score_documents(docs, buckets, weights, ["doc_id"])
+    weights = fit_weights(docs, known)
+    scores = score_documents(docs, weights, ["doc_id"])
     scores = stored(gumbel_keys(scores, TEMPERATURE, SEED), "scores")
     level = separating_level(scores, known)
     k = scores.filter(F.col("score") >= F.lit(level)).count()
-    return buckets, weights, scores, top_k_level(scores, k)
+    return weights, scores, top_k_level(scores, k)
 
 
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document with ``score``, ``key`` and whether it is in the sample (``kept``)."""
-    _, _, scores, least = fit(docs, labels)
+    _, scores, least = fit(docs, labels)
     return scores.select("doc_id", "score", "key", (F.col("key") >= F.lit(least)).alias("kept"))
 
 
 def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents in the sample, all columns kept. Scores are made again, not joined."""
-    buckets, weights, _, least = fit(docs, labels)
+    weights, _, least = fit(docs, labels)
     names = {c: "doc_id" if c == "doc_id" else f"_c{i}" for i, c in enumerate(docs.columns)}
     plain = docs.toDF(*names.values())
-    scored = score_documents(plain, buckets, weights, plain.columns, names["text"])
+    scored = score_documents(plain, weights, plain.columns, names["text"])
     chosen = gumbel_keys(scored, TEMPERATURE, SEED).filter(F.col("key") >= F.lit(least))
     return chosen.select(*[F.col(alias).alias(c) for c, alias in names.items()])

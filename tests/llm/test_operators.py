@@ -229,6 +229,45 @@ def test_counts_cover_all_rows(labelled):
     assert known == dict(want)
 
 
+def test_weights_scores_and_sample_as_counted_by_hand(labelled):
+    docs, labels = labelled
+    noise = "(shiftrightunsigned(xxhash64(doc_id, xxhash64(text), 11), 11) + 0.5D) / 9007199254740992D AS u"
+    rows = docs.selectExpr("doc_id", "text", noise).collect()
+    known = {r.doc_id: r for r in importance.bounded_labels(labels, 10**6).collect()}
+    cells = {r.doc_id: set(importance.grams_of(pa.array([r.text]))[1].tolist()) for r in rows}
+    fit = {i for i, r in known.items() if r.good and not r.held}
+    raw, target = Counter(), Counter()
+    for i, found in cells.items():
+        raw.update(found)
+        target.update(found if i in fit else ())
+    weight = {}
+    for c, n in raw.items():
+        expected = n * len(fit) / len(rows) + 2
+        ratio = math.log((target[c] + 2) / expected)
+        weight[c] = math.copysign(max(0.0, abs(ratio) - 2.5 / math.sqrt(expected)), ratio)
+    assert min(weight.values()) < 0
+    score = {i: round(sum(weight[c] for c in sorted(found)), 4) for i, found in cells.items()}
+    found = {r.doc_id: r for r in importance.resample(docs, labels).collect()}
+    for r in rows:
+        assert abs(found[r.doc_id].score - score[r.doc_id]) < 2e-4
+        key = found[r.doc_id].score / importance.TEMPERATURE - math.log(-math.log(r.u))
+        assert abs(found[r.doc_id].key - key) < 1e-6
+    kept = sorted((r.key for r in found.values()), reverse=True)[: sum(r.kept for r in found.values())]
+    assert {r.doc_id for r in found.values() if r.kept} == {r.doc_id for r in found.values() if r.key >= kept[-1]}
+
+
+def test_grams_are_words_pairs_signs_and_repeats():
+    def count(text):
+        return len(importance.grams_of(pa.array([text]))[0])
+
+    # Up to white space, up to any sign, pairs, runs of signs, three in a row.
+    assert count("ab cd") == 2 + 2 + 1
+    assert count("Ab ab") == 1 + 1 + 1
+    assert count("ab-cd !!") == 2 + 2 + 1 + 2
+    assert count("no no no") == 1 + 1 + 1 + 1
+    assert count("") == 0
+
+
 def test_without_labels_all_is_kept(labelled):
     docs, labels = labelled
     assert all(r.kept for r in importance.resample(docs, labels.limit(0)).collect())
