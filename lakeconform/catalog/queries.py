@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType
 
 from lakeconform import functions as fn
 from lakeconform.catalog import oracle as sql
-from lakeconform.catalog import timelines
+from lakeconform.catalog import timelines, upkeep
 from lakeconform.catalog.projection import raw_frame, table
 from lakeconform.operators.attribution import attribution_summary, unique_candidates
 from lakeconform.operators.dedup import deduplicate
@@ -898,6 +898,7 @@ _register_gold()
 _register_insights()
 _register_gates()
 timelines.register_all(register, SETTINGS)
+upkeep.register_all(register, SETTINGS)
 
 
 def queries() -> dict[str, Query]:

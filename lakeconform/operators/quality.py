@@ -36,6 +36,19 @@ class Rule:
         return f"coalesce({self.expr}, {str(self.null_passes).lower()})"
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A rule across entities: a value of ``column`` must stand in ``target`` of ``parent``.
+
+    A null refers to nothing and passes.
+    """
+
+    name: str
+    column: str
+    parent: str
+    target: str
+
+
 @dataclass(frozen=True)
 class Contract:
     """What one entity must look like: columns, business key, rules, quarantine tolerance."""
@@ -45,6 +58,7 @@ class Contract:
     key: tuple[str, ...]
     rules: tuple[Rule, ...] = ()
     tolerance: float | None = None
+    references: tuple[Reference, ...] = ()
 
     @property
     def errors(self) -> tuple[Rule, ...]:

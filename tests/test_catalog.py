@@ -42,6 +42,11 @@ CHOSEN = (
     "concurrent_leads",
     "overallocated_spans",
     "event_sessions",
+    "reference_failures",
+    "adrift_team_membership",
+    "weekly_sketches",
+    "stream_event_windows",
+    "stream_user_sessions",
 )
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
