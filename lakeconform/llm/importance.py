@@ -42,6 +42,8 @@ PRIOR = 2.0
 TEMPERATURE = 0.25
 HELD_OUT = 5
 SEED = 11
+# Bytes of text that a worker cuts into n-grams at once; a longer text stands alone.
+AT_ONCE = 500_000
 SIGNS = WHITE & ~ALNUM
 
 
@@ -102,10 +104,10 @@ def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             fit = batch.column("fit").to_numpy(zero_copy_only=False)
             seen, fitted = seen + len(fit), fitted + int(fit.sum())
-            for a, b in slices(batch.column("text")):
+            for a, b in slices(batch.column("text"), AT_ONCE):
                 rows, cells = grams_of(batch.column("text").slice(a, b - a))
-                raw += np.bincount(cells, minlength=CELLS)
-                target += np.bincount(cells[fit[a:b][rows]], minlength=CELLS)
+                np.add.at(raw, cells, 1)
+                np.add.at(target, cells[fit[a:b][rows]], 1)
         which = np.flatnonzero(raw)
         for at in range(0, len(which), 100_000):
             w = which[at : at + 100_000]
@@ -154,7 +156,7 @@ def score_documents(docs: DataFrame, weights: np.ndarray, keep: list[str], text:
         for batch in batches:
             texts = batch.column(text)
             scores = np.zeros(batch.num_rows)
-            for a, b in slices(texts):
+            for a, b in slices(texts, AT_ONCE):
                 rows, cells = all_grams(texts.slice(a, b - a))
                 hits = weighted[cells]
                 rows, cells = distinct(rows[hits], cells[hits])
