@@ -11,9 +11,12 @@ import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side with at most this many narrow rows may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+# A side of at most this many counted bytes may be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 64 << 20
+# Spark's own setting that deletes the shuffle files of a statement when it has ended.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,11 +45,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     The lineage ends there, so a lost executor costs no earlier work, and what was computed
-    once is the same for every later use.
+    once is the same for every later use. Its shuffle files go when the table is written, as
+    nothing reads them again: the disk in use is that of one step, not of all steps so far.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FILE_CLEANUP)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def placed(df: DataFrame) -> DataFrame:
@@ -65,9 +75,27 @@ def placed(df: DataFrame) -> DataFrame:
     return found.join(F.broadcast(files), "_file").select(*[f"`{c}`" for c in df.columns], row)
 
 
+def _width(kind: T.DataType, value: str) -> str:
+    """SQL for the bytes of a value: 16 for what has a fixed size, also as overhead of the rest."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return f"16 + coalesce(octet_length({value}), 0)"
+    if isinstance(kind, T.ArrayType):
+        inner = _width(kind.elementType, "e")
+        return f"16 + coalesce(aggregate({value}, 0L, (a, e) -> a + {inner}), 0L)"
+    if isinstance(kind, T.StructType):
+        return " + ".join(["16", *[_width(f.dataType, f"{value}.`{f.name}`") for f in kind.fields]])
+    return "16"
+
+
+def held_bytes(df: DataFrame) -> int:
+    """About how much memory the rows of a frame take; one number reaches the driver."""
+    widths = " + ".join(["16", *[_width(f.dataType, f"`{f.name}`") for f in df.schema.fields]])
+    return df.agg(F.expr(f"coalesce(sum({widths}), 0L)")).first()[0]
+
+
 def narrow(df: DataFrame) -> DataFrame:
-    """Broadcast a stored frame of narrow rows if its counted size allows, else leave it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """Broadcast a stored frame if its summed bytes allow, however wide its rows, else leave it."""
+    return F.broadcast(df) if held_bytes(df) <= BROADCAST_BYTES else df
 
 
 def numbered(df: DataFrame, keys: list[str], columns: list[str], name: str) -> tuple[DataFrame, dict]:

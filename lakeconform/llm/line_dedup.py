@@ -104,11 +104,15 @@ POSSIBLE = (
 POSITIONS = "9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
 
 
-def distinct_lines(rows: DataFrame, classes: Column) -> DataFrame:
-    """One row per set: first place, how many lines have it, size, parities and prefix."""
-    lines = ordered_lines(rows, classes).select(
+def sketched_lines(rows: DataFrame, classes: Column) -> DataFrame:
+    """Each line with its set's hash, its place, size, parities and prefix."""
+    return ordered_lines(rows, classes).select(
         "key", "place", "n", F.expr(PARITIES).alias("signs"), F.expr(PREFIX).alias("prefix")
     )
+
+
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """One row per set: first place, how many lines have it, size, parities and prefix."""
     return lines.groupBy("key").agg(
         F.min("place").alias("place"),
         F.count("*").alias("copies"),
@@ -153,7 +157,8 @@ def later_of(matches: DataFrame, sets: DataFrame) -> DataFrame:
 def removed_lines(rows: DataFrame) -> DataFrame:
     """``_row`` and the numbers of the lines to remove from it, for rows that lose any."""
     classes = rarity(rows)
-    sets = stored(distinct_lines(rows, classes), "lines")
+    lines = stored(sketched_lines(rows, classes), "lines-all")
+    sets = stored(distinct_lines(lines), "lines")
     # First: the earliest line of about the same size with the same rarest word.
     larger = sets.filter(F.col("n") >= LEAST_PAIRED)
     rarest = larger.select(
@@ -195,8 +200,7 @@ def removed_lines(rows: DataFrame) -> DataFrame:
         ),
         "lines-losing",
     )
-    lines = ordered_lines(rows, classes).select("key", "place")
-    gone = enrich(lines, losing, ["key"]).filter("place > earliest")
+    gone = enrich(lines.select("key", "place"), losing, ["key"]).filter("place > earliest")
     # As many numbers as the document has lines.
     per_row = gone.groupBy(F.col("place._row").alias("_row")).agg(
         F.collect_list("place.line_no").alias("removed")
