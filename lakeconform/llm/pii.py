@@ -10,11 +10,13 @@ it become spans to be generalised, from :data:`REMOVE` on to be removed, whereve
 
 Every entity is assessed, and with it its group, so that rare entities share evidence: the
 domain of an e-mail address, the network of an IP address, the first six digits of a card, the
-first five of a phone number. A pair counts if chance does not explain it: the bound
-``exp(-n(t) KL(n(c,t) / n(t), n(c) / N))`` on the chance of meeting so often is at most
-:data:`CHANCE` for all pairs of entities and words of the corpus together (Bonferroni). In it,
-copies of a line or document with the pair are one meeting. Where even a word that is only ever
-seen with the entity could not pass, the words are not counted; that leaves out none that would.
+first five of a phone number. A pair counts if chance does not explain it. The bound
+``exp(-n(t) KL(n(c,t) / n(t), n(c) / N))`` on the chance of meeting so often stands for its
+p-value, and the false discovery rate over all pairs of entities and words of the corpus is kept
+at :data:`FALSE_RATE` (Benjamini and Hochberg): of ``k`` pairs as strong as this one, each must be
+below ``k FALSE_RATE / pairs``. In the bound, copies of a line or document with the pair are one
+meeting. Where even a word that is only ever seen with the entity could not pass if every pair
+that was met did, the words are not counted; that leaves out none that would.
 
 Spans count code points, end exclusive. Null texts are empty: no spans. Patterns are written
 without backtracking over repeated groups and start only at the head of a run, so very long
@@ -24,13 +26,17 @@ documents. Extra columns are unused. The table must be stored, as it is read by
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeconform.llm.common import narrow, placed, stored
 from lakeconform.operators.joins import enrich
 
-CHANCE = 0.05
+FALSE_RATE = 0.05
+# Strengths, natural logarithms of chances, are rounded down to this part of one for ranking.
+STEPS = 64
 GENERALISE = 0.6
 REMOVE = 0.85
 
@@ -139,6 +145,22 @@ def protected_units(rows: DataFrame, lines: bool) -> DataFrame:
     )
 
 
+def discovered(ranked: DataFrame, alone: float) -> int | None:
+    """The lowest ``step`` of strength that keeps the false discovery rate; none if none does.
+
+    ``alone`` is the strength that a pair needs if no other is as strong. Pairs are counted per
+    step up to that, so the rows that reach the driver are bounded by it and not by the pairs.
+    """
+    top = math.ceil(STEPS * alone)
+    counts = ranked.groupBy(F.least("step", F.lit(top)).alias("step")).agg(F.count("*").alias("n"))
+    lowest, as_strong = None, 0
+    for step, n in sorted(((r[0], r[1]) for r in counts.collect()), reverse=True):
+        as_strong += n
+        if step / STEPS >= alone - math.log(as_strong):
+            lowest = step
+    return lowest
+
+
 def disclosing_terms(rows: DataFrame, lines: bool) -> DataFrame:
     """``word`` and ``disclosure``, its largest for any entity, where above the threshold."""
     units = stored(protected_units(rows, lines), "pii-units")
@@ -157,9 +179,11 @@ def disclosing_terms(rows: DataFrame, lines: bool) -> DataFrame:
     none = units.sparkSession.createDataFrame([], "word string, disclosure double")
     if not tests:
         return none
-    needed = f"ln({tests}D / {CHANCE})"
+    met = units.agg(F.sum(F.expr("CAST(size(entities) AS BIGINT) * size(words)"))).first()[0]
+    alone = math.log(tests / FALSE_RATE)
+    least = alone - math.log(max(met, 1))
     # The most that a word seen as often, always with the entity, could prove.
-    reach = f"* ln({total}D / contexts) >= {needed}"
+    reach = f"* ln({total}D / contexts) >= {least}D"
     able = stored(known.filter(f"contexts {reach}"), "pii-able")
     pairs = units.select(F.explode("entities").alias("entity"), "words", "n")
     pairs = pairs.join(narrow(able.select("entity")), "entity", "left_semi")
@@ -179,8 +203,15 @@ def disclosing_terms(rows: DataFrame, lines: bool) -> DataFrame:
         f"seen * ({share} * ln({share} / {rate})"
         f" + IF(seen = met, 0D, (1 - {share}) * ln((1 - {share}) / (1 - {rate}))))"
     )
+    ranked = measured.filter(f"n_entity < {total} AND {share} > {rate}").withColumn(
+        "step", F.expr(f"CAST(floor({STEPS} * ({apart})) AS BIGINT)")
+    )
+    ranked = stored(ranked.filter(f"step >= {math.floor(STEPS * least)}"), "pii-ranked")
+    step = discovered(ranked, alone)
+    if step is None:
+        return none
     strong = (
-        measured.filter(f"n_entity < {total} AND {share} > {rate}").filter(f"{apart} >= {needed}")
+        ranked.filter(F.col("step") >= step)
         .selectExpr(
             "word",
             f"log2(CAST(n_joint AS DOUBLE) * {total} / n_entity / n_word) / log2({total} / n_entity) AS disclosure",
