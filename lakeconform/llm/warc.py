@@ -7,9 +7,10 @@ the pages alone, not on the cluster. Record ids, digests and lengths are made an
 content. Of records with equal payloads of at least 100 bytes one is a response, the others are
 revisits without the payload.
 
-The archives are written by Spark under a temporary name, one file per shard, then renamed; the
-manifest with size and digest of every file is renamed last. Readers follow the manifest only,
-so a run that ended early leaves nothing that is read.
+The archives are written by Spark into a temporary folder beside the root, one file per task, and
+get their names there, and a manifest with size and digest of every file; then the folder is
+renamed to the root. So a run that ended early leaves no root and does not stand in the way of
+the next one; a root that holds anything is not written to. Readers follow the manifest only.
 
 Null html is an empty payload. Control characters in URLs are escaped. Pages without rows give
 a manifest without files. Rows that repeat a page id are records of their own. A record is held
@@ -25,6 +26,7 @@ import uuid
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,8 @@ from lakeconform.operators.joins import enrich
 
 ROLL_BYTES = 8_000_000
 LEAST_REVISIT = 100
+# Renames under way at once; a file store answers many at a time.
+RENAMES = 16
 DATE = "2024-02-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
@@ -162,21 +166,24 @@ def file_bounds(sizes: DataFrame, roll_bytes: int) -> list[tuple]:
 def write_archives(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, date: str = DATE) -> str:
     """Write all pages under ``root`` and return the path of the manifest."""
     spark = pages.sparkSession
+    jvm, run = spark._jvm, uuid.uuid4().hex
+    path = jvm.org.apache.hadoop.fs.Path
+    store = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    root = root.rstrip("/")
+    temporary = f"{root}-writing-{run}"
+    if store.exists(path(root)) and not (len(store.listStatus(path(root))) == 0 and store.delete(path(root), False)):
+        raise FileExistsError(f"{root} holds something already")
     rows = positioned(pages)
     repeats = stored(revisits(rows), "warc-revisits")
     full = rows.join(narrow(repeats), "_row", "left")
     sizes = full.mapInArrow(_records(date, True, []), "page_id bigint, _row bigint, size bigint")
     bounds = file_bounds(sizes, roll_bytes)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    store = path(root).getFileSystem(conf)
-    temporary = f"{root}/_writing-{uuid.uuid4().hex}"
     if bounds:
         shaped = full.mapInArrow(
             _records(date, False, bounds), "page_id bigint, _row bigint, file int, record string"
         )
         (
-            shaped.repartition(max(1, len(bounds)), "file")
+            shaped.repartitionById(len(bounds), "file")
             .sortWithinPartitions("file", "page_id", "_row")
             .select("file", "record")
             .write.partitionBy("file")
@@ -184,27 +191,37 @@ def write_archives(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, da
             .option("compression", "gzip")
             .text(f"{temporary}/files")
         )
-        for i in range(len(bounds)):
-            (written,) = [
-                f.getPath()
-                for f in store.listStatus(path(f"{temporary}/files/file={i}"))
-                if f.getPath().getName().startswith("part-")
-            ]
-            if not store.rename(written, path(f"{root}/pages-{i:06d}.warc.gz")):
-                raise OSError(f"could not name archive {i} under {root}")
-        found = spark.read.format("binaryFile").load(f"{root}/pages-*.warc.gz")
+        _name_archives(store, path, f"{temporary}/files", temporary)
+        store.delete(path(f"{temporary}/files"), True)
+        found = spark.read.format("binaryFile").load(f"{temporary}/pages-*.warc.gz")
         listed = found.select(
             F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256")
         )
     else:
         listed = spark.createDataFrame([], "name string, length bigint, sha256 string")
     listed.write.parquet(f"{temporary}/manifest")
-    if not store.rename(path(f"{temporary}/manifest"), path(f"{root}/manifest")):
-        raise OSError(f"could not name the manifest of {root}")
-    store.delete(path(temporary), True)
+    if store.exists(path(root)) or not store.rename(path(temporary), path(root)):
+        raise OSError(f"could not name {root}; what was written is in {temporary}")
     return f"{root}/manifest"
 
 
+def _name_archives(store, path, written: str, folder: str) -> None:
+    """Give every written shard its name in ``folder``; one listing, renames side by side."""
+    files, found = store.listFiles(path(written), True), []
+    while files.hasNext():
+        at = files.next().getPath()
+        if at.getName().startswith("part-"):
+            found.append((int(at.getParent().getName().removeprefix("file=")), at))
+
+    def rename(shard: tuple) -> None:
+        number, at = shard
+        if not store.rename(at, path(f"{folder}/pages-{number:06d}.warc.gz")):
+            raise OSError(f"could not name archive {number} in {folder}")
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(rename, found))
+
+
 FIELDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, intact boolean"
 
 
