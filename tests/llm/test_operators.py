@@ -1,5 +1,6 @@
 """Operators on text against plain Python over small tables."""
 
+import gzip
 import hashlib
 import itertools
 import math
@@ -506,6 +507,55 @@ def test_rare_entities_share_evidence_and_any_word_counts(stored_docs):
     assert not any(found[i] for i in range(24, len(found)))
 
 
+def brute_disclosure(units):
+    """Word to disclosure, by counting whole units one by one."""
+    words_of = lambda t: set(re.findall(r"[^\W_]+", t.lower()))
+    entities, seen, joint = Counter(), Counter(), Counter()
+    for unit in units:
+        mails = re.findall(PATTERNS["email"].replace("(", "(?:"), unit)
+        own = {("one", m) for m in mails} | {("group", m.split("@")[1]) for m in mails}
+        bare = unit
+        for m in mails:
+            bare = bare.replace(m, " ")
+        seen.update(words_of(unit))
+        entities.update(own)
+        joint.update(itertools.product(own, words_of(bare)))
+    total, tests = len(units), len(entities) * len(seen)
+    strong = []
+    for (entity, word), met in joint.items():
+        share, rate = met / seen[word], entities[entity] / total
+        if share > rate:
+            strength = share * math.log(share / rate)
+            if share < 1:
+                strength += (1 - share) * math.log((1 - share) / (1 - rate))
+            strong.append((seen[word] * strength, entity, word))
+    strong.sort(key=lambda s: -s[0])
+    last = max((k for k, s in enumerate(strong, 1) if math.exp(-s[0]) <= k * 0.05 / tests), default=0)
+    found = {}
+    for _, entity, word in strong[:last]:
+        gain = math.log2(joint[entity, word] * total / entities[entity] / seen[word])
+        share = gain / math.log2(total / entities[entity])
+        if share >= pii.GENERALISE:
+            found[word] = max(share, found.get(word, 0))
+    return found
+
+
+def test_disclosure_is_that_of_counting(stored_docs):
+    chosen = random.Random(11)
+    lines = [" ".join(prose(i, 9, 500)) for i in range(900)]
+    for person in range(40):
+        for _ in range(chosen.choice([2, 4, 6])):
+            lines.append(f"{' '.join(prose(chosen.random(), 6, 500))} nick{person} hint{person % 7} p{person}@h{person % 9}.org")
+        lines.append(f"where is nick{person} hint{chosen.randrange(7)}")
+    chosen.shuffle(lines)
+    rows = pii.positioned(stored_docs(["\n".join(lines[i : i + 5]) for i in range(0, len(lines), 5)]))
+    found = {r.word: r.disclosure for r in pii.disclosing_terms(rows, True).collect()}
+    want = brute_disclosure(lines)
+    assert found == pytest.approx(want)
+    nicks = {w for w in found if w.startswith("nick")}
+    assert len(nicks) >= 20 and not any(w.startswith("w") for w in found)
+
+
 # 7 Alike documents
 
 
@@ -594,6 +644,53 @@ def test_a_changed_archive_is_not_read(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path / "a")).collect()
 
 
+def test_a_run_that_broke_off_can_be_repeated(spark, tmp_path, monkeypatch):
+    rows = [(i, f"u{i}", " ".join(prose(i, 300))) for i in range(30)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "p"))
+    pages, root = spark.read.parquet(str(tmp_path / "p")), tmp_path / "a"
+    name_archives = warc._name_archives
+
+    def broken(store, path, written, folder):
+        name_archives(store, path, written, folder)
+        raise OSError("broken off")
+
+    monkeypatch.setattr(warc, "_name_archives", broken)
+    with pytest.raises(OSError, match="broken off"):
+        warc.write_archives(pages, str(root), roll_bytes=5_000)
+    assert not root.exists()
+    monkeypatch.undo()
+    root.mkdir()
+    warc.write_archives(pages, str(root), roll_bytes=5_000)
+    found = warc.read_archives(spark, str(root)).collect()
+    assert sorted(r.page_id for r in found) == list(range(30)) and all(r.intact for r in found)
+    assert len(list(root.glob("pages-*.warc.gz"))) > 2
+    with pytest.raises(FileExistsError):
+        warc.write_archives(pages, str(root))
+
+
+def test_archives_are_plain_gzip_and_warc(spark, tmp_path):
+    """Read with gzip and the length fields alone, in the order of the files' names."""
+    rows = [(i, f"u{i}", f"<p>é {i} " + " ".join(prose(i, 100))) for i in range(40)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3).write.parquet(str(tmp_path / "p"))
+    warc.write_archives(spark.read.parquet(str(tmp_path / "p")), str(tmp_path / "a"), roll_bytes=4_000)
+    held = []
+    for archive in sorted((tmp_path / "a").glob("pages-*.warc.gz")):
+        with gzip.open(archive) as file:
+            while line := file.readline():
+                assert line == b"WARC/1.1\r\n"
+                head = {}
+                while (line := file.readline()) != b"\r\n":
+                    name, _, value = line.decode().strip().partition(": ")
+                    head[name] = value
+                block = file.read(int(head["Content-Length"]))
+                assert file.read(4) == b"\r\n\r\n"
+                http, payload = block.split(b"\r\n\r\n", 1)
+                assert http.startswith(b"HTTP/1.1 200 OK\r\n")
+                assert head["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(payload).hexdigest()
+                held.append((head["WARC-Target-URI"], payload.decode()))
+    assert held == [(url, html) for _, url, html in rows]
+
+
 # 9 Sharding
 
 
