@@ -27,18 +27,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the cluster's shared folder, removed when the session's JVM ends.
 
     The folder is ``spark.checkpoint.dir``; only a session on one machine may do without it and
-    gets a temporary one.
+    gets a temporary one. All paths of a session lie in one folder, which is there before it is
+    marked for removal, since a path that is not there yet cannot be marked.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-    path = f"{root.rstrip('/')}/lakeconform-llm/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+        root = tempfile.gettempdir()
+    home = f"{root.rstrip('/')}/lakeconform-llm/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(home)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
