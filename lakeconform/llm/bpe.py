@@ -100,6 +100,12 @@ class Tokenizer:
         special = {i: np.array([i], "<u4").tobytes() for i in self.special.values()}
         self.older, self.words = self.words, special
 
+    def rest(self) -> None:
+        """Let go of what was learnt: between tasks the worker may serve other operators."""
+        self.forget()
+        self.older = {}
+        self.pairs.clear()
+
     def merge(self, word: bytes) -> list[int]:
         """Exact BPE: the lowest rank first, the leftmost of equal ranks."""
         if len(word) > LONG_WORD:
@@ -237,7 +243,7 @@ class Tokenizer:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    """One per worker and file; what it has learnt serves all tasks of the worker."""
+    """One per worker and file; its tables serve all tasks of the worker."""
     return Tokenizer(path)
 
 
@@ -249,22 +255,25 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in batches:
-            texts = batch.column(1)
-            for start, end in slices(texts):
-                part = [t or "" for t in texts.slice(start, end - start).to_pylist()]
-                found = bpe.encode_batch(part)
-                columns = [
-                    batch.column(0).slice(start, end - start),
-                    pa.array([len(f) for f in found], pa.int64()),
-                    pa.array([hashlib.sha256(f.tobytes()).hexdigest() for f in found], pa.string()),
-                    pa.array([hashlib.sha256(bpe.decode(f)).hexdigest() for f in found], pa.string()),
-                ]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_ids:
-                    columns.append(pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for batch in batches:
+                texts = batch.column(1)
+                for start, end in slices(texts):
+                    part = [t or "" for t in texts.slice(start, end - start).to_pylist()]
+                    found = bpe.encode_batch(part)
+                    columns = [
+                        batch.column(0).slice(start, end - start),
+                        pa.array([len(f) for f in found], pa.int64()),
+                        pa.array([hashlib.sha256(f.tobytes()).hexdigest() for f in found], pa.string()),
+                        pa.array([hashlib.sha256(bpe.decode(f)).hexdigest() for f in found], pa.string()),
+                    ]
+                    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                    if with_ids:
+                        columns.append(pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32())))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        finally:
+            bpe.rest()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

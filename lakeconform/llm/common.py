@@ -130,7 +130,7 @@ def numbered(df: DataFrame, keys: list[str], columns: list[str], name: str) -> t
     return rows, {"offsets": offsets, "total": total}
 
 
-def slices(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose UTF-8 bytes stay within ``limit``; a longer text stands alone."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
