@@ -8,6 +8,7 @@ from lakeconform.functions.numbers import (
     parse_double,
     parse_int,
     parse_score,
+    round_half_away,
     score_origin,
     stable_round,
     was_capped,
@@ -51,6 +52,7 @@ __all__ = [
     "parse_int",
     "parse_month",
     "parse_score",
+    "round_half_away",
     "score_origin",
     "stable_round",
     "surrogate_key",

@@ -58,7 +58,17 @@ def was_capped(value: Column | str, high: float) -> Column:
 def guarded_ratio(numerator: Column | str, denominator: Column | str, digits: int = 4) -> Column:
     """Rounded share, or null where there is nothing to divide by."""
     below = as_column(denominator)
-    return F.when(below > 0, F.round(as_column(numerator) / below, digits))
+    return F.when(below > 0, round_half_away(as_column(numerator) / below, digits))
+
+
+def round_half_away(value: Column | str, digits: int) -> Column:
+    """Round a double by its binary value, halves away from zero, as SQL engines with C's ``round`` do.
+
+    Spark's ``round`` goes by the shortest decimal text, so that 4.935, which lies below the half
+    in binary, would become 4.94.
+    """
+    scale = F.lit(float(10**digits))
+    return F.round(as_column(value).cast("double") * scale, 0) / scale
 
 
 def stable_round(value: Column, digits: int) -> Column:
@@ -67,4 +77,4 @@ def stable_round(value: Column, digits: int) -> Column:
     The first rounding drops the last few bits, which differ with the order in which
     partial sums meet; the second gives the published precision.
     """
-    return F.round(F.round(value, 9), digits)
+    return round_half_away(round_half_away(value, 9), digits)

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeconform.functions import round_half_away
+
 METRIC_SCHEMA = (
     "batch_id string, ingest_date string, layer string, entity string, source_path string, "
     "target_path string, rows_read long, rows_valid long, rows_quarantined long, "
@@ -37,7 +39,7 @@ def stage_metrics(
         spark.createDataFrame(data, METRIC_SCHEMA)
         .withColumn("is_local", F.lit(is_local))
         .withColumn("engine", F.lit(engine))
-        .withColumn("quarantine_ratio", F.round(quarantine_share(), 6))
+        .withColumn("quarantine_ratio", round_half_away(quarantine_share(), 6))
         .withColumn("reconciles", reconciles())
     )
 
@@ -59,7 +61,7 @@ def quarantine_gate(
         metrics.withColumn("tolerance", limit)
         .withColumn("quarantine_ratio", quarantine_share())
         .filter((F.col("rows_read") > 0) & (F.col("quarantine_ratio") > F.col("tolerance")))
-        .withColumn("quarantine_ratio", F.round("quarantine_ratio", 6))
+        .withColumn("quarantine_ratio", round_half_away("quarantine_ratio", 6))
     )
 
 

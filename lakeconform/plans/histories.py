@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeconform.functions import round_half_away
 from lakeconform.operators.intervals import OPEN_END, load_spans, overlap_join
 from lakeconform.operators.timelines import as_of_join, islands
 
@@ -67,7 +68,7 @@ def sessions(events: DataFrame, minutes: int = 30) -> DataFrame:
         "ts",
         "ts",
         f"INTERVAL {minutes} MINUTES",
-        [F.count("*").alias("n_events"), F.round(F.sum("value"), 4).alias("total_value")],
+        [F.count("*").alias("n_events"), round_half_away(F.sum("value"), 4).alias("total_value")],
         unit="day",
     )
 
@@ -98,7 +99,7 @@ def team_trends(monthly: DataFrame, months: int = 3) -> DataFrame:
         "team_id",
         "month_key",
         "achievements",
-        F.round(F.avg("achievements").over(recent), 4).alias("recent_mean"),
+        round_half_away(F.avg("achievements").over(recent), 4).alias("recent_mean"),
         (F.col("achievements") - F.lag("achievements").over(in_time)).alias("change"),
     )
 

@@ -8,9 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeconform.functions import round_half_away, stable_round
+
 
 def _share(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.round(part / whole, 4))
+    return F.when(whole > 0, round_half_away(part / whole, 4))
 
 
 def _flag_sum(name: str) -> Column:
@@ -23,7 +25,7 @@ def n01_roster_overview(members: DataFrame) -> DataFrame:
         teams.alias("teams"),
         F.count("*").alias("membership_rows"),
         F.count_distinct("employee_email").alias("distinct_people"),
-        F.when(teams > 0, F.round(F.count("*") / teams, 1)).alias("mean_team_size"),
+        F.when(teams > 0, round_half_away(F.count("*") / teams, 1)).alias("mean_team_size"),
     )
 
 
@@ -98,7 +100,7 @@ def n08_achievement_overview(achievements: DataFrame) -> DataFrame:
         F.max("month_key").alias("last_month"),
         F.count("*").alias("team_months"),
         F.coalesce(F.sum("achievement_count"), F.lit(0)).alias("achievements"),
-        F.round(F.round(F.avg("avg_impact_score_numeric"), 9), 2).alias("mean_impact_numeric"),
+        stable_round(F.avg("avg_impact_score_numeric"), 2).alias("mean_impact_numeric"),
     )
 
 
@@ -106,7 +108,7 @@ def n09_monthly_rollup(achievements: DataFrame) -> DataFrame:
     return achievements.groupBy("month_key").agg(
         F.sum("achievement_count").alias("achievements"),
         F.count_distinct("team_id").alias("teams_reporting"),
-        F.round(F.round(F.avg("avg_impact_score_numeric"), 9), 2).alias("avg_impact"),
+        stable_round(F.avg("avg_impact_score_numeric"), 2).alias("avg_impact"),
     )
 
 
@@ -116,7 +118,7 @@ def n10_top_teams_by_impact(achievements: DataFrame, k: int = 10) -> DataFrame:
         .groupBy("team_id", "team_name")
         .agg(
             F.sum("achievement_count").alias("achievements"),
-            F.round(F.coalesce(F.sum("total_impact_score"), F.lit(0.0)), 2).alias("total_impact"),
+            round_half_away(F.coalesce(F.sum("total_impact_score"), F.lit(0.0)), 2).alias("total_impact"),
         )
         .orderBy(F.col("total_impact").desc(), "team_id", "team_name")
         .limit(k)
@@ -156,8 +158,8 @@ def n14_ratio_overview(ratios: DataFrame) -> DataFrame:
         F.count("*").alias("teams"),
         above.alias("above_threshold"),
         _share(above, F.count("*")).alias("above_share"),
-        F.round(F.round(F.avg(share), 9), 4).alias("mean_ratio"),
-        F.round(F.percentile(share, 0.5), 5).alias("median_ratio"),
+        stable_round(F.avg(share), 4).alias("mean_ratio"),
+        round_half_away(F.percentile(share, 0.5), 5).alias("median_ratio"),
         F.max(share).alias("max_ratio"),
     )
 

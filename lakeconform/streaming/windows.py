@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeconform.functions import round_half_away
+
 
 @dataclass(frozen=True)
 class Progress:
@@ -54,7 +56,7 @@ def closed_windows(
     once = events.filter(F.col(time).isNotNull()).withWatermark(time, delay)
     once = once.dropDuplicatesWithinWatermark([identity]) if events.isStreaming else once.dropDuplicates([identity])
     sums = once.groupBy(place.alias("span"), *keys).agg(
-        F.count("*").alias("n"), F.round(F.sum(value), 4).alias("total")
+        F.count("*").alias("n"), round_half_away(F.sum(value), 4).alias("total")
     )
     return sums.select(F.col("span.start").alias("starts"), F.col("span.end").alias("ends"), *keys, "n", "total")
 

@@ -142,6 +142,12 @@ def test_cap_and_flags(either_mode):
     ]
 
 
+def test_rounding_goes_by_the_binary_value(either_mode):
+    rows = [(4.935,), (0.125,), (-0.125,), (2.0,), (None,)]
+    df = either_mode.createDataFrame(rows, "x double").select(fn.stable_round(F.col("x"), 2))
+    assert [r[0] for r in df.collect()] == [4.93, 0.13, -0.13, 2.0, None]
+
+
 def test_guarded_ratio(either_mode):
     df = either_mode.createDataFrame([(1, 3), (1, 0), (0, 2)], "a long, b long")
     assert [r[0] for r in df.select(fn.guarded_ratio("a", "b")).collect()] == [0.3333, None, 0.0]
