@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeconform.catalog import oracle as sql
+from lakeconform.catalog.stage import staged
 from lakeconform.functions import parse_date
 from lakeconform.operators.differences import snapshot_difference
 from lakeconform.operators.merge import Merged, changed_rows, matching, merge_first, new_since, replaced
@@ -55,10 +56,10 @@ class Loads:
 def new_memberships(frames) -> DataFrame:
     """Rows of the export after the mark, and those at it that a first load had not seen."""
     columns = list(RAW_COLUMNS[ENTITY])
-    raw = frames.raw(ENTITY)
-    value, mark = parse_date("start_date"), F.lit(MARK).cast("date")
-    edge = raw.select(*columns, value.alias("_value")).filter(F.coalesce(F.col("_value") == mark, F.lit(True)))
-    found = new_since(raw, value, mark, edge.filter("role <> 'SME'"), columns)
+    mark = F.lit(MARK).cast("date")
+    dated = staged(frames.raw(ENTITY).select(*columns, parse_date("start_date").alias("_value")))
+    edge = dated.filter(F.coalesce(F.col("_value") == mark, F.lit(True)))
+    found = new_since(dated, F.col("_value"), mark, edge.filter("role <> 'SME'"), columns)
     return found.withColumnRenamed("_value", "started")
 
 
