@@ -15,6 +15,7 @@ from lakeconform import functions as fn
 from lakeconform.catalog import oracle as sql
 from lakeconform.catalog import timelines, upkeep
 from lakeconform.catalog.projection import raw_frame, table
+from lakeconform.catalog.stage import staged
 from lakeconform.operators.attribution import attribution_summary, unique_candidates
 from lakeconform.operators.dedup import deduplicate
 from lakeconform.operators.identity import (
@@ -97,6 +98,7 @@ class Frames:
     sf_dir: str
     _tables: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     _silver: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _settled: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -125,6 +127,18 @@ class Frames:
             )
         return self._silver[entity]
 
+    def settled(self, entity: str) -> DataFrame:
+        """The conformed rows, written once, for queries that use or filter them several times."""
+        if entity not in self._settled:
+            self._settled[entity] = staged(self.silver(entity))
+        return self._settled[entity]
+
+    def settle(self) -> Frames:
+        """Write the roster once, for queries over several of the curated datasets."""
+        if "members" not in self._settled:
+            self._settled["members"] = self.__dict__["members"] = staged(self.members)
+        return self
+
     @cached_property
     def members(self) -> DataFrame:
         return marts.team_members(

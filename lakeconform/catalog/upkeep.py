@@ -136,7 +136,9 @@ def register_all(register: Callable, settings: Settings) -> None:
     ):
         register(
             f"adrift_{entity}",
-            lambda f, entity=entity, columns=columns: adrift(entity, f.silver, settings).select(
+            lambda f, entity=entity, columns=columns: adrift(
+                entity, lambda name: f.settled(name) if name == entity else f.silver(name), settings
+            ).select(
                 *columns.split(", "), "_rejection_reason"
             ),
             _adrift_sql(entity, columns),
