@@ -229,9 +229,9 @@ def register_all(register: Callable, settings: Settings) -> None:
         lambda f: histories.reporter_roles(f.silver("achievements"), f.silver(ENTITY)),
         _AS_OF_SQL,
     )
-    register("concurrent_leads", lambda f: histories.concurrent_leads(f.silver(ENTITY)), _LEADS_SQL)
-    register("overallocated_spans", lambda f: histories.overallocated_spans(f.silver(ENTITY)), _SPANS_SQL)
-    register("tenures", lambda f: histories.tenures(f.silver(ENTITY)), _TENURES_SQL)
+    register("concurrent_leads", lambda f: histories.concurrent_leads(f.settled(ENTITY)), _LEADS_SQL)
+    register("overallocated_spans", lambda f: histories.overallocated_spans(f.settled(ENTITY)), _SPANS_SQL)
+    register("tenures", lambda f: histories.tenures(f.settled(ENTITY)), _TENURES_SQL)
     register("event_sessions", lambda f: histories.sessions(f.table("events")), _SESSIONS_SQL)
     register("snapshot_difference", membership_changes, _CHANGES_SQL)
     register("team_trends", lambda f: histories.team_trends(f.gold["monthly_team_achievements"]), _TRENDS_SQL)
