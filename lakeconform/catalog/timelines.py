@@ -28,17 +28,18 @@ class Loads:
         self.frames, self.settings = frames, settings
         raw = frames.raw(ENTITY)
         later = F.pmod(F.xxhash64(*raw.columns), F.lit(3)) == 0
-        self.first, self.second = (
+        first, second = (
             conform(ENTITY, NORMALIZERS[ENTITY](raw.filter(part), settings), settings) for part in (~later, later)
         )
+        self.first, self.second = staged(first.kept), staged(second.outcome.valid)
         self.key = list(get_contract(ENTITY, settings).key)
 
     def merged(self) -> Merged:
-        return merge_first(self.first.kept, self.second.outcome.valid, self.key, DEDUP_ORDER[ENTITY])
+        return merge_first(self.first, self.second, self.key, DEDUP_ORDER[ENTITY])
 
     def refreshed(self) -> DataFrame:
         merged = self.merged()
-        return replaced(self.first.kept, merged.after, self.second.outcome.valid, self.key)
+        return replaced(self.first, merged.after, self.second, self.key)
 
     def ratios(self) -> DataFrame:
         """The ratios of the first load, those of teams with a changed membership made anew."""
@@ -50,7 +51,7 @@ class Loads:
         columns = sql.SILVER_COLUMNS[ENTITY]
         touched = changed_rows(merged.before, merged.after, columns).select("team_id").distinct()
         anew = ratio(matching(self.refreshed(), touched, ["team_id"]))
-        return replaced(ratio(self.first.kept), anew, touched, ["team_id"])
+        return replaced(ratio(self.first), anew, touched, ["team_id"])
 
 
 def new_memberships(frames) -> DataFrame:
