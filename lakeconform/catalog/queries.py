@@ -118,6 +118,10 @@ class Frames:
     def conformed(self, entity: str) -> Conformed:
         return conform(entity, self.normalized(entity), SETTINGS)
 
+    def rejected(self, entity: str) -> DataFrame:
+        """Rows that broke a rule and rows that lost their key, of typed rows written once."""
+        return conform(entity, staged(self.normalized(entity)), SETTINGS).rejected
+
     def silver(self, entity: str) -> DataFrame:
         if entity not in self._silver:
             self._silver[entity] = (
@@ -536,7 +540,7 @@ def _register_quality() -> None:
         )
         register(
             f"rejected_{entity}",
-            lambda f, e=entity: f.conformed(e).rejected.drop(VIOLATIONS),
+            lambda f, e=entity: f.rejected(e).drop(VIOLATIONS),
             f"SELECT * FROM rejected_{entity}",
         )
 
