@@ -686,7 +686,7 @@ GOLD_CHECKS = {
 
 
 def _answers(f: Frames) -> DataFrame:
-    return marts.business_answers(f.gold, SETTINGS.ratio_threshold)
+    return marts.business_answers(f.settle().gold, SETTINGS.ratio_threshold)
 
 
 def _register_gold() -> None:
@@ -856,7 +856,7 @@ def _register_insights() -> None:
     }
     register(
         "n18_dataset_inventory",
-        lambda f: insights.n18_dataset_inventory({d: f.gold[d] for d in GOLD_CHECKS}),
+        lambda f: insights.n18_dataset_inventory({d: f.settle().gold[d] for d in GOLD_CHECKS}),
         " UNION ALL ".join(
             f"SELECT '{d}' AS dataset, (SELECT count(*) FROM {GOLD_CHECKS[d]}) AS rows, "
             f"{width} AS columns"
