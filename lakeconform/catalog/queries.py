@@ -110,9 +110,9 @@ class Frames:
 
     def normalized(self, entity: str) -> DataFrame:
         if entity == "achievements":
-            return normalize_achievements(
-                self.raw(entity), self.silver("team_membership"), self.silver("teams"), SETTINGS
-            )
+            # Who is on which team is the same before and after dedup, since both are in the key.
+            on_teams = self.conformed("team_membership").outcome.valid
+            return normalize_achievements(self.raw(entity), on_teams, self.silver("teams"), SETTINGS)
         return NORMALIZERS[entity](self.raw(entity), SETTINGS)
 
     def conformed(self, entity: str) -> Conformed:

@@ -88,8 +88,15 @@ class Outcome:
 
     @cached_property
     def valid(self) -> DataFrame:
-        """Filters on the plain conjunction of the rules: no arrays are built."""
-        return self.df.filter(self.passes) if self.contract.errors else self.df
+        """Rows that meet the plain conjunction of the rules: no arrays of names are built.
+
+        A row that fails is an empty array to ``inline``, since Catalyst would push a filter below
+        the parsing it depends on and so parse everything twice.
+        """
+        if not self.contract.errors:
+            return self.df
+        once = f"IF({self.passes}, array(struct(true AS _passes)), array())"
+        return self.df.selectExpr("*", f"inline({once})").drop("_passes")
 
     @cached_property
     def invalid(self) -> DataFrame:
