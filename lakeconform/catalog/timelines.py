@@ -227,7 +227,7 @@ def register_all(register: Callable, settings: Settings) -> None:
     register("refreshed_staff_ratio", lambda f: Loads(f, settings).ratios(), "SELECT * FROM gold_ratios")
     register(
         "asof_reporter_roles",
-        lambda f: histories.reporter_roles(f.silver("achievements"), f.silver(ENTITY)),
+        lambda f: histories.reporter_roles(f.settled("achievements"), f.settled(ENTITY)),
         _AS_OF_SQL,
     )
     register("concurrent_leads", lambda f: histories.concurrent_leads(f.settled(ENTITY)), _LEADS_SQL)
