@@ -11,8 +11,11 @@ number. The test is exact:
 * Lines with equal sets become one, at its first place. Sets of fewer than four words match only
   equal ones, so they are in no pairs.
 * Prefix filter: matching lines share one of their first ``n - ceil(0.8 n) + 1`` words.
-* Length filter, positional filter, and a filter on 64 parities: each word in one line only
+* Words seen once are in no pairs.
+* Length filter, positional filter, and a filter on 128 parities: each word in one line only
   flips one, so too many different parities prove that too many words differ.
+* The shared words of the prefixes are counted per pair. Behind the prefix that ends first there
+  are at most ``ceil(0.8 n) - 1`` words, so too few shared ones prove the pair unlike.
 * What is left is verified on the whole sets.
 
 A long list of lines that share a word is often one group of near copies. So each line is first
@@ -39,31 +42,36 @@ LEAST_PAIRED = 4
 CELLS = 1 << 20
 PLACE = "struct<doc_id:bigint,_row:bigint,line_no:int>"
 
-# Hashes of the different words; the empty pieces at the ends of a line are none.
-WORDS = (
-    r"array_distinct(array_remove(transform(split(lower(line), '[\\x20\\x09-\\x0D]+'),"
-    " w -> xxhash64(w)), xxhash64('')))"
+# The words of a line and empty pieces. Cutting at one blank needs no pattern and is much faster.
+PIECES = (
+    r"IF(line rlike '[\\x09-\\x0D]', split(lower(line), '[\\x20\\x09-\\x0D]+'), split(lower(line), ' '))"
 )
+# Hashes of the different words; empty pieces are none.
+WORDS = f"array_distinct(array_remove(transform({PIECES}, w -> xxhash64(w)), xxhash64('')))"
 IDENTITY = (1 << 54) - 1
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
-    """Each line with its place and the hashes of its different words."""
+    """Each line that has a word, with its place.
+
+    The text is asked for a word, since a filter on the hashes would be made of them once more.
+    """
     lines = rows.select(
         "doc_id", "_row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
     )
-    hashed = F.expr(WORDS).alias("hashes")
-    return lines.select("doc_id", "_row", "line_no", hashed).filter(
-        F.size("hashes") >= LEAST_WORDS
-    )
+    return lines.filter(r"line rlike '[^\\x20\\x09-\\x0D]'")
 
 
 def rarity(rows: DataFrame) -> Column:
-    """Count class of every cell, eight steps to a doubling, as one array of fixed length."""
+    """Count class of every cell, eight steps to a doubling, as one array of fixed length.
+
+    Every occurrence of a word counts, so a cell counted once is a word of one line.
+    """
     counted = stored(
         lines_of(rows)
-        .select(F.explode("hashes").alias("h"))
-        .groupBy(F.expr(f"CAST(h & {CELLS - 1} AS INT)").alias("cell"))
+        .select(F.explode(F.expr(PIECES)).alias("word"))
+        .filter("word <> ''")
+        .groupBy(F.expr(f"CAST(xxhash64(word) & {CELLS - 1} AS INT)").alias("cell"))
         .agg(F.count("*").alias("n")),
         "word-cells",
     )
@@ -78,9 +86,9 @@ def rarity(rows: DataFrame) -> Column:
     return table.scalar()
 
 
-def ordered_lines(rows: DataFrame, classes: Column) -> DataFrame:
-    """Lines as sorted word codes, rarest first, with set hash, size and parities."""
-    coded = lines_of(rows).withColumn("classes", classes)
+def ordered_lines(lines: DataFrame, classes: Column) -> DataFrame:
+    """Lines of :func:`lines_of` as sorted word codes, rarest first, with set hash and size."""
+    coded = lines.select("doc_id", "_row", "line_no", F.expr(WORDS).alias("hashes"), classes.alias("classes"))
     words = F.expr(
         "sort_array(transform(hashes, h -> shiftleft(CAST(element_at(classes,"
         f" CAST(h & {CELLS - 1} AS INT) + 1) AS BIGINT), 54) | (h & {IDENTITY})))"
@@ -95,19 +103,31 @@ def ordered_lines(rows: DataFrame, classes: Column) -> DataFrame:
 
 
 PREFIX = "slice(words, 1, n - CAST(ceil(4 * n / 5) AS INT) + 1)"
+# Of all words by six bits of their hash, and of those alone that have the seventh.
 PARITIES = "aggregate(words, 0L, (a, w) -> a ^ shiftleft(1L, CAST(w & 63 AS INT)))"
+UPPER = "aggregate(words, 0L, (a, w) -> a ^ shiftleft(shiftright(w, 6) & 1L, CAST(w & 63 AS INT)))"
+# Class of a cell that was counted once.
+SINGLE = 8
 # 9 i >= 4 (a + b) is Jaccard 0.8; then at most a ninth of a + b is in one set only.
 POSSIBLE = (
     "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
-    " AND 9 * bit_count(x.signs ^ y.signs) <= x.n + y.n"
+    " AND 9 * (bit_count(x.upper ^ y.upper) + bit_count(x.signs ^ y.signs ^ x.upper ^ y.upper))"
+    " <= x.n + y.n"
 )
 POSITIONS = "9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
+# ``shared`` words of the prefixes, sizes ``an`` and ``bn``.
+ENOUGH = "9 * (shared + (4 * greatest(an, bn) + 4) div 5 - 1) >= 4 * (an + bn)"
 
 
 def sketched_lines(rows: DataFrame, classes: Column) -> DataFrame:
     """Each line with its set's hash, its place, size, parities and prefix."""
-    return ordered_lines(rows, classes).select(
-        "key", "place", "n", F.expr(PARITIES).alias("signs"), F.expr(PREFIX).alias("prefix")
+    return ordered_lines(lines_of(rows), classes).select(
+        "key",
+        "place",
+        "n",
+        F.expr(PARITIES).alias("signs"),
+        F.expr(UPPER).alias("upper"),
+        F.expr(PREFIX).alias("prefix"),
     )
 
 
@@ -118,6 +138,7 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
         F.count("*").alias("copies"),
         F.first("n").alias("n"),
         F.first("signs").alias("signs"),
+        F.first("upper").alias("upper"),
         F.first("prefix").alias("prefix"),
     )
 
@@ -125,7 +146,8 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, classes: Column) -> DataFrame:
     """The pairs ``a``, ``b`` of set hashes that match, by their whole sets.
 
-    Only the documents in which the sets have their first place are read again.
+    Only the documents in which the sets have their first place are read again, and only those
+    lines of them are hashed.
     """
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     wanted = stored(
@@ -133,11 +155,10 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, classes: Column
         "lines-wanted",
     )
     holders = stored(wanted.select("_row").distinct(), "lines-holders")
-    again = ordered_lines(rows.join(narrow(holders), "_row", "left_semi"), classes)
-    again = again.select("place._row", "place.line_no", "words")
-    words = stored(
-        again.join(narrow(wanted), ["_row", "line_no"]).select("key", "words"), "lines-words"
-    )
+    again = lines_of(rows.join(narrow(holders), "_row", "left_semi"))
+    again = again.join(narrow(wanted.select("_row", "line_no")), ["_row", "line_no"], "left_semi")
+    # Equal sets have one key.
+    words = stored(ordered_lines(again, classes).select("key", "words"), "lines-words")
     both = enrich(pairs, words.withColumnRenamed("words", "left"), {"a": "key"})
     both = enrich(both, words.withColumnRenamed("words", "right"), {"b": "key"})
     return both.filter(
@@ -165,7 +186,7 @@ def removed_lines(rows: DataFrame) -> DataFrame:
         F.expr("prefix[0]").alias("word"),
         F.floor(F.log("n") / F.log(F.lit(1.25))).alias("band"),
         "place",
-        F.struct("key", "n", "signs").alias("x"),
+        F.struct("key", "n", "signs", "upper").alias("x"),
     )
     heads = rarest.groupBy("word", "band").agg(F.min(F.struct("place", F.col("x").alias("y"))).alias("head"))
     near = enrich(rarest, heads, ["word", "band"]).select("x", F.col("head.y").alias("y"))
@@ -174,14 +195,15 @@ def removed_lines(rows: DataFrame) -> DataFrame:
     settled = stored(later_of(verified(pairs, sets, rows, classes), sets), "lines-settled")
     # Then every pair of which one is not settled yet.
     done = settled.select("key", F.lit(True).alias("done"))
-    marked = larger.select("key", "n", "signs", "prefix").join(narrow(done), "key", "left")
+    marked = larger.select("key", "n", "signs", "upper", "prefix").join(narrow(done), "key", "left")
     entries = marked.select(
         F.coalesce("done", F.lit(False)).alias("done"),
         "key",
         "n",
         "signs",
+        "upper",
         F.posexplode("prefix").alias("at", "word"),
-    )
+    ).filter(f"shiftright(word, 54) > {SINGLE}")
     # Both sides are one frame under two names, so that it is shuffled once.
     met = entries.alias("x").join(
         entries.alias("y"),
@@ -190,7 +212,10 @@ def removed_lines(rows: DataFrame) -> DataFrame:
             f" AND {POSSIBLE} AND {POSITIONS}"
         ),
     )
-    more = stored(met.selectExpr("x.key AS a", "y.key AS b").distinct(), "lines-pairs")
+    counted = met.groupBy(
+        F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.n").alias("an"), F.col("y.n").alias("bn")
+    ).agg(F.count("*").alias("shared"))
+    more = stored(counted.filter(ENOUGH).select("a", "b"), "lines-pairs")
     found = settled.union(later_of(verified(more, sets, rows, classes), sets))
     matched = found.groupBy("key").agg(F.min("earliest").alias("earliest"))
     firsts = enrich(sets.select("key", "place", "copies"), matched, ["key"])

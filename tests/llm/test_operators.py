@@ -422,6 +422,24 @@ def test_a_large_group_of_near_copies_of_a_line(stored_docs):
     assert [(r.doc_id, r.n_chars) for r in kept.collect()] == [(0, len(texts[0]))]
 
 
+def test_long_lines_that_share_rare_words_are_not_verified(stored_docs, monkeypatch):
+    chosen = random.Random(11)
+    lines = [[f"w{chosen.randrange(600)}" for _ in range(170)] for _ in range(30)]
+    lines += [[*line[:-8], *(f"n{k}" for k in range(8))] for line in lines[:5]]
+    texts = [" ".join(line) for line in lines]
+    verified, asked = line_dedup.verified, []
+
+    def count(pairs, *others):
+        asked.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(line_dedup, "verified", count)
+    found = line_dedup.remove_repeats(stored_docs(texts)).collect()
+    assert {r.doc_id: (r.text, r.n_removed, r.kept) for r in found} == brute_lines(enumerate(texts))
+    assert sum(r.n_removed for r in found) == 5
+    assert sum(asked) <= 10
+
+
 def test_short_repeated_lines_are_removed(stored_docs):
     texts = ["one\nTwo words\n同じ文がここにある", "two  WORDS\nother\none", "同じ文がここにある\n\n \none two\n", "a b c\na b c d\nc b a"]
     found = line_dedup.remove_repeats(stored_docs(texts)).collect()
