@@ -177,7 +177,8 @@ def write_archives(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, da
     repeats = stored(revisits(rows), "warc-revisits")
     full = rows.join(narrow(repeats), "_row", "left")
     sizes = full.mapInArrow(_records(date, True, []), "page_id bigint, _row bigint, size bigint")
-    bounds = file_bounds(sizes, roll_bytes)
+    # Written once: the range exchange reads its input twice, to find the ranges and to deal the rows.
+    bounds = file_bounds(stored(sizes, "warc-sizes"), roll_bytes)
     if bounds:
         shaped = full.mapInArrow(
             _records(date, False, bounds), "page_id bigint, _row bigint, file int, record string"

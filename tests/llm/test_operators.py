@@ -653,6 +653,22 @@ def test_archives_hold_what_was_written(spark, tmp_path):
     assert {r.record_type for r in found if r.page_id in (72, 73)} == {"response"}
 
 
+def test_records_are_sized_once(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, f"u{i}", f"text {i}") for i in range(9)], "page_id long, url string, html string").write.parquet(
+        str(tmp_path / "pages")
+    )
+    plans, bounds = [], warc.file_bounds
+
+    def look(sizes, roll_bytes):
+        plans.append(sizes._jdf.queryExecution().toString())
+        return bounds(sizes, roll_bytes)
+
+    monkeypatch.setattr(warc, "file_bounds", look)
+    warc.write_archives(spark.read.parquet(str(tmp_path / "pages")), str(tmp_path / "warc"))
+    assert warc.read_archives(spark, str(tmp_path / "warc")).count() == 9
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]
+
+
 def test_a_changed_archive_is_not_read(spark, tmp_path):
     spark.createDataFrame([(1, "u", "x" * 200)], "page_id bigint, url string, html string").write.parquet(str(tmp_path / "p"))
     warc.write_archives(spark.read.parquet(str(tmp_path / "p")), str(tmp_path / "a"))
