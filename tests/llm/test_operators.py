@@ -653,6 +653,18 @@ def test_archives_hold_what_was_written(spark, tmp_path):
     assert {r.record_type for r in found if r.page_id in (72, 73)} == {"response"}
 
 
+def test_spans_of_disclosing_words(spark):
+    texts = ["Ann saw\nANN, annex\n\nbob Ann", "", "ΟΔΟΣ.x ΟΔΟΣ\nοδος 😀 ann", "none\nhere", "\nBob\r\nBob\n"]
+    words = ["ann", "bob", "οδος"]
+    rows = spark.createDataFrame([(i, t, words) for i, t in enumerate(texts)], "id int, text string, terms array<string>")
+    valid = "array_contains(terms, lower(m))"
+    both = rows.selectExpr("id", f"{pii.term_spans('term', 'terms')} AS found", f"{pii.spans_of('text', 'term', pii.TERM, valid)} AS plain")
+    got = {r.id: (r.found, r.plain) for r in both.collect()}
+    assert all(found == plain for found, plain in got.values())
+    assert [(s.start, s.end, s.value) for s in got[0][0]] == [(0, 3, "Ann"), (8, 11, "ANN"), (20, 23, "bob"), (24, 27, "Ann")]
+    assert len(got[2][0]) == 4 and len(got[4][0]) == 2
+
+
 def test_records_are_sized_once(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(i, f"u{i}", f"text {i}") for i in range(9)], "page_id long, url string, html string").write.parquet(
         str(tmp_path / "pages")
