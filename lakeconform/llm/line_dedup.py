@@ -19,8 +19,9 @@ number. The test is exact:
 * What is left is verified on the whole sets.
 
 A long list of lines that share a word is often one group of near copies. So each line is first
-compared with the earliest line of its rarest word; what that settles is not compared with each
-other again, which keeps such a group from giving all its pairs.
+compared with one of the earliest lines of its rarest words. What that settles goes, whatever
+else it matches, so it is not compared with earlier lines again, which keeps such a group from
+giving all its pairs.
 
 Words are compared by 54 bits of their hash together with their count class, sets by 64-bit
 hashes. Null texts stay null. A document whose words are all in removed lines is not kept.
@@ -39,6 +40,8 @@ from lakeconform.operators.joins import enrich
 LEAST_WORDS = 1
 # Sets below this size match only equal ones: 3 to 4 is under 0.8.
 LEAST_PAIRED = 4
+# Rarest words of a line that are looked at first.
+HEADS = 2
 CELLS = 1 << 20
 PLACE = "struct<doc_id:bigint,_row:bigint,line_no:int>"
 
@@ -143,62 +146,68 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, classes: Column) -> DataFrame:
-    """The pairs ``a``, ``b`` of set hashes that match, by their whole sets.
+def by_place(sets: DataFrame) -> DataFrame:
+    """The sets with ``id``, a number that grows with their first place."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sets.repartitionByRange(parts, "place").sortWithinPartitions("place")
+    return ordered.withColumn("id", F.monotonically_increasing_id())
+
+
+def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` of set numbers that match, by their whole sets.
 
     Only the documents in which the sets have their first place are read again, and only those
     lines of them are hashed.
     """
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    numbers = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = stored(
-        keys.join(sets.select("key", "place"), "key").select("key", "place._row", "place.line_no"),
+        numbers.join(sets.select("id", "place"), "id").select("id", "place._row", "place.line_no"),
         "lines-wanted",
     )
     holders = stored(wanted.select("_row").distinct(), "lines-holders")
     again = lines_of(rows.join(narrow(holders), "_row", "left_semi"))
-    again = again.join(narrow(wanted.select("_row", "line_no")), ["_row", "line_no"], "left_semi")
-    # Equal sets have one key.
-    words = stored(ordered_lines(again, classes).select("key", "words"), "lines-words")
-    both = enrich(pairs, words.withColumnRenamed("words", "left"), {"a": "key"})
-    both = enrich(both, words.withColumnRenamed("words", "right"), {"b": "key"})
+    again = again.join(narrow(wanted), ["_row", "line_no"])
+    words = stored(again.select("id", F.expr(WORDS).alias("words")), "lines-words")
+    both = enrich(pairs, words.withColumnRenamed("words", "left"), {"a": "id"})
+    both = enrich(both, words.withColumnRenamed("words", "right"), {"b": "id"})
     return both.filter(
         "9 * size(array_intersect(left, right)) >= 4 * (size(left) + size(right))"
     ).select("a", "b")
 
 
-def later_of(matches: DataFrame, sets: DataFrame) -> DataFrame:
-    """For each set that an earlier one matches, the place of the earliest."""
-    places = sets.select("key", "place")
-    placed = enrich(matches, places.withColumnRenamed("place", "pa"), {"a": "key"})
-    placed = enrich(placed, places.withColumnRenamed("place", "pb"), {"b": "key"})
-    later = placed.selectExpr("IF(pa < pb, b, a) AS key", "least(pa, pb) AS earliest")
-    return later.groupBy("key").agg(F.min("earliest").alias("earliest"))
+def head_pairs(entries: DataFrame) -> DataFrame:
+    """At most one earlier set ``a`` for each set ``b``: the one that looks most alike.
+
+    The candidates are the earliest set of about the same size of each word in ``entries``, so
+    there are no more of them than entries.
+    """
+    heads = entries.groupBy("word", "band").agg(F.min("x").alias("y"))
+    near = enrich(entries, heads, ["word", "band"]).filter("y.id < x.id").filter(POSSIBLE)
+    apart = F.expr("bit_count(x.upper ^ y.upper) + bit_count(x.signs ^ y.signs ^ x.upper ^ y.upper)")
+    best = near.groupBy("x.id").agg(F.min(F.struct(apart.alias("apart"), "y.id")).alias("best"))
+    return best.select(F.col("best.id").alias("a"), F.col("id").alias("b"))
 
 
 def removed_lines(rows: DataFrame) -> DataFrame:
     """``_row`` and the numbers of the lines to remove from it, for rows that lose any."""
     classes = rarity(rows)
     lines = stored(sketched_lines(rows, classes), "lines-all")
-    sets = stored(distinct_lines(lines), "lines")
-    # First: the earliest line of about the same size with the same rarest word.
+    sets = stored(by_place(distinct_lines(lines)), "lines")
+    # First: the earliest lines of about the same size with one of the rarest shared words.
     larger = sets.filter(F.col("n") >= LEAST_PAIRED)
     rarest = larger.select(
-        F.expr("prefix[0]").alias("word"),
+        F.explode(F.expr(f"slice(filter(prefix, w -> shiftright(w, 54) > {SINGLE}), 1, {HEADS})")).alias("word"),
         F.floor(F.log("n") / F.log(F.lit(1.25))).alias("band"),
-        "place",
-        F.struct("key", "n", "signs", "upper").alias("x"),
+        F.struct("id", "n", "signs", "upper").alias("x"),
     )
-    heads = rarest.groupBy("word", "band").agg(F.min(F.struct("place", F.col("x").alias("y"))).alias("head"))
-    near = enrich(rarest, heads, ["word", "band"]).select("x", F.col("head.y").alias("y"))
-    pairs = near.filter("x.key <> y.key").filter(POSSIBLE)
-    pairs = stored(pairs.selectExpr("y.key AS a", "x.key AS b"), "lines-pairs")
-    settled = stored(later_of(verified(pairs, sets, rows, classes), sets), "lines-settled")
-    # Then every pair of which one is not settled yet.
-    done = settled.select("key", F.lit(True).alias("done"))
-    marked = larger.select("key", "n", "signs", "upper", "prefix").join(narrow(done), "key", "left")
+    pairs = stored(head_pairs(rarest), "lines-pairs")
+    settled = stored(verified(pairs, sets, rows).select(F.col("b").alias("id")), "lines-settled")
+    # Then every pair whose later one is not settled yet; a settled one goes whatever else it matches.
+    done = settled.select("id", F.lit(True).alias("done"))
+    marked = larger.select("id", "n", "signs", "upper", "prefix").join(narrow(done), "id", "left")
     entries = marked.select(
         F.coalesce("done", F.lit(False)).alias("done"),
-        "key",
+        "id",
         "n",
         "signs",
         "upper",
@@ -207,25 +216,20 @@ def removed_lines(rows: DataFrame) -> DataFrame:
     # Both sides are one frame under two names, so that it is shuffled once.
     met = entries.alias("x").join(
         entries.alias("y"),
-        F.expr(
-            "x.word = y.word AND x.key < y.key AND NOT (x.done AND y.done)"
-            f" AND {POSSIBLE} AND {POSITIONS}"
-        ),
+        F.expr(f"x.word = y.word AND x.id < y.id AND NOT y.done AND {POSSIBLE} AND {POSITIONS}"),
     )
     counted = met.groupBy(
-        F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.n").alias("an"), F.col("y.n").alias("bn")
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("an"), F.col("y.n").alias("bn")
     ).agg(F.count("*").alias("shared"))
     more = stored(counted.filter(ENOUGH).select("a", "b"), "lines-pairs")
-    found = settled.union(later_of(verified(more, sets, rows, classes), sets))
-    matched = found.groupBy("key").agg(F.min("earliest").alias("earliest"))
-    firsts = enrich(sets.select("key", "place", "copies"), matched, ["key"])
+    matched = settled.union(verified(more, sets, rows).select("b")).distinct()
+    matched = matched.withColumn("matched", F.lit(True))
+    firsts = enrich(sets.select("id", "key", "place", "copies"), matched, ["id"])
     losing = stored(
-        firsts.filter("earliest IS NOT NULL OR copies > 1").selectExpr(
-            "key", "least(place, earliest) AS earliest"
-        ),
+        firsts.filter("matched OR copies > 1").select("key", F.expr("IF(matched, NULL, place)").alias("stays")),
         "lines-losing",
     )
-    gone = enrich(lines.select("key", "place"), losing, ["key"]).filter("place > earliest")
+    gone = lines.select("key", "place").join(narrow(losing), "key").filter("stays IS NULL OR place > stays")
     # As many numbers as the document has lines.
     per_row = gone.groupBy(F.col("place._row").alias("_row")).agg(
         F.collect_list("place.line_no").alias("removed")

@@ -440,6 +440,28 @@ def test_long_lines_that_share_rare_words_are_not_verified(stored_docs, monkeypa
     assert sum(asked) <= 10
 
 
+def test_pairs_with_a_settled_later_line_are_not_verified(stored_docs, monkeypatch):
+    base = [f"b{k}" for k in range(40)]
+    other = [f"o{k}" for k in range(5)]
+    lines = [base, other + base[5:]]
+    for i in range(100):
+        line = other[:2] + base[2:]
+        line[10 + i % 30] = f"new{i}"
+        lines.append(line)
+    texts = [" ".join(line) for line in lines]
+    verified, asked = line_dedup.verified, []
+
+    def count(pairs, *others):
+        asked.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(line_dedup, "verified", count)
+    found = line_dedup.remove_repeats(stored_docs(texts)).collect()
+    assert {r.doc_id: (r.text, r.n_removed, r.kept) for r in found} == brute_lines(enumerate(texts))
+    assert sum(r.n_removed for r in found) == 100
+    assert sum(asked) <= 105
+
+
 def test_short_repeated_lines_are_removed(stored_docs):
     texts = ["one\nTwo words\n同じ文がここにある", "two  WORDS\nother\none", "同じ文がここにある\n\n \none two\n", "a b c\na b c d\nc b a"]
     found = line_dedup.remove_repeats(stored_docs(texts)).collect()
