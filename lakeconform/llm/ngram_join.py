@@ -18,8 +18,9 @@ rounds. In the first ones each column's rows are multiplied with one row of anot
 and about their size, and each row keeps one partner; the links form components. Then only pairs
 in different components are multiplied: those in the same one are joined already, whatever their overlap.
 Their overlaps over the kept columns are summed, and pairs that the columns left out could not
-bring to the threshold are discarded.
-After it every two rows that share a column are known to be linked, unlike, or in one component,
+bring to the threshold are discarded. Two long rows are multiplied only if one of the parts into
+which their whole sets are cut is the same, which alike rows cannot avoid (for thresholds from 0.9).
+After it every two rows that share a column or part are known to be linked, unlike, or in one component,
 so the components are exact.
 
 Shingles are 64-bit hashes, sets of them 128-bit digests. Null texts and texts without words
@@ -39,16 +40,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeconform.llm.common import narrow, placed, slices, stored
-from lakeconform.llm.textarrays import WHITE, shingles_of, words_of
+from lakeconform.llm.textarrays import WHITE, mixed as spread, shingles_of, words_of
 from lakeconform.operators.joins import enrich
 
 WIDTH = 3
 PERCENT = 90
 # Cells of the word counts. They only decide the order of columns; any number is right.
 CELLS = 1 << 20
-# Rounds with one partner for each row before all pairs left are taken.
+# Rounds with one partner for each row before all pairs left are taken, and the different choices
+# of partners that the columns are dealt to in a round.
 ROUNDS = 3
+CHOICES = 8
+# Sets of this size or more differ in about half of the parities, however much they share.
+LONG = 1000
 SIGNS = ("s0", "s1", "s2", "s3")
+# Long sets are met by parts from this threshold on; below it parts are too small to be telling.
+PARTED = 90
+# Partitions tried for a set whose parts are not all filled.
+SEEDS = 4
 # A band holds sizes within a tenth of each other.
 BAND = 1.1
 
@@ -164,6 +173,49 @@ def _prefix(s: np.ndarray, rarest: np.ndarray, percent: int) -> np.ndarray:
     return s[np.argsort(rarest, kind="stable")[:size]]
 
 
+def part_keys(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of which any two different sets that are alike by ``percent`` share one.
+
+    ``hashes`` holds the sets one after the other, cut at ``bounds``; returned are the set and the
+    key of each part, in no order. Sizes are dealt to levels such that alike sets are in one level
+    or in neighbouring ones, and every set is cut by hash for its own level and for the next. A
+    level has one part more than shingles may differ between two sets up to its greatest size, so
+    one part of the two is the same. That part may be empty; both sets then have an empty part,
+    and such sets are cut anew. Only after the last cut are empty parts keys as well.
+    """
+    sizes = np.diff(bounds)
+    tops = [1]
+    while tops[-1] < max(int(sizes.max(initial=1)), 1) * 4:
+        tops.append(max(tops[-1] + 1, 100 * tops[-1] // percent))
+    tops = np.array(tops, np.int64)
+    parts_of = (100 - percent) * 2 * tops // (100 + percent) + 1
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for step in (0, 1):
+        level = np.searchsorted(tops, sizes) + step
+        # With one part, only equal sets would share it, and those are one row.
+        open_rows = (sizes > 0) & (parts_of[level] > 1)
+        for seed in range(SEEDS):
+            count = np.where(open_rows, parts_of[level], 0)
+            base = np.concatenate([[0], np.cumsum(count)])
+            taken = open_rows[owner]
+            row, own = owner[taken], hashes[taken]
+            salt = spread(np.array([seed + 1], np.uint64))[0]
+            part = (spread(own ^ salt) % count[row].astype(np.uint64)).astype(np.int64)
+            total = np.zeros(base[-1], np.uint64)
+            filled = np.zeros(base[-1], bool)
+            np.add.at(total, base[row] + part, spread(own + salt))
+            filled[base[row] + part] = True
+            cell_row = np.repeat(np.arange(len(sizes)), count)
+            place = np.arange(base[-1]) - base[cell_row]
+            tag = (level[cell_row] << 48 | seed << 40 | place).astype(np.uint64)
+            keys = spread(total + spread(tag))
+            open_rows = np.bincount(cell_row[~filled], minlength=len(sizes)) > 0
+            told = filled | (seed == SEEDS - 1)
+            found.append((cell_row[told], keys[told]))
+    return np.concatenate([r for r, _ in found]), np.concatenate([k for _, k in found])
+
+
 APART = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in SIGNS)
 
 
@@ -189,12 +241,14 @@ def first_pairs(placed: DataFrame, percent: int, seed: int) -> DataFrame:
     """At most one partner of another component for each row: the one that looks most alike.
 
     The candidates are two rows of different components per column and band of sizes, chosen by
-    a hash that changes with ``seed``. For long rows the parities say little; they need to share
-    a hundredth of the columns. What is left out here is left to the last round, which misses
-    none.
+    a hash that changes with ``seed`` and takes one of :data:`CHOICES` values of the column, so
+    that a row of a large group meets several components of it. For long rows the parities say
+    little; the candidate that shares most columns is taken, and a thousandth of the row's size
+    at least. What is left out here is left to the last round, which misses none.
     """
+    choice = F.pmod(F.xxhash64("key"), F.lit(CHOICES)) + seed * CHOICES
     chance = F.struct(
-        F.xxhash64("root", F.lit(seed)).alias("h"), F.xxhash64("x.rid", F.lit(seed)).alias("i"), "root", "x"
+        F.xxhash64("root", choice).alias("h"), F.xxhash64("x.rid", choice).alias("i"), "root", "x"
     )
     ends = placed.groupBy("key", "band").agg(F.min(chance).alias("lo"), F.max(chance).alias("hi"))
     shared = (
@@ -208,22 +262,27 @@ def first_pairs(placed: DataFrame, percent: int, seed: int) -> DataFrame:
             F.expr(APART).alias("apart"),
         )
         .agg(F.count("*").alias("votes"))
-        .filter("n < 1000 OR 100 * votes >= n")
-    )
-    best = shared.groupBy("rid").agg(
-        F.min(F.struct("apart", (-F.col("votes")).alias("v"), "other")).alias("best")
+        .filter(f"n < {LONG} OR 1000 * votes >= n")
     )
+    look = F.struct(F.expr(f"IF(n < {LONG}, apart, 0)").alias("apart"), (-F.col("votes")).alias("v"), "other")
+    best = shared.groupBy("rid").agg(F.min(look).alias("best"))
     return _ordered(best, "rid", "best.other").distinct()
 
 
-def second_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """The pairs of rows in different components that their overlap so far leaves possible.
+def mixed_columns(placed: DataFrame) -> DataFrame:
+    """The entries of the columns that rows of several components share, with the main ``root``."""
+    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")
+    )
+    shared = enrich(placed, main, ["key"]).filter("roots > 1")
+    return stored(shared.select("key", "x", "root", F.col("most.root").alias("main")), "ngram-mixed")
 
-    ``mixed`` holds the entries of the columns that rows of several components share, each with
-    its ``root`` and the column's most frequent root ``main``. A pair is taken once per column:
-    at least one of the two is not of the main root. The columns kept per row are its first in
-    the common order, so behind the counted ones at most ``n - ceil(t n) + 1`` fewer than ``n``
-    can follow in one of the two.
+
+def met_rows(mixed: DataFrame, possible: Column) -> DataFrame:
+    """Pairs ``x``, ``y`` of rows in different components, once per column that both have.
+
+    At least one of the two is not of the column's main root.
     """
     strays = mixed.filter("root <> main").select("key", "x", "root")
     others = mixed.select(
@@ -232,13 +291,27 @@ def second_pairs(mixed: DataFrame, percent: int) -> DataFrame:
         F.col("root").alias("r"),
         (F.col("root") != F.col("main")).alias("stray"),
     )
-    met = strays.join(
+    return strays.join(
         others,
         (F.col("key") == F.col("k"))
         & (F.col("root") != F.col("r"))
         & F.expr("NOT stray OR x.rid < y.rid")
-        & _possible(percent),
+        & possible,
     )
+
+
+def second_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """The pairs of rows in different components that their overlap so far leaves possible.
+
+    ``mixed`` holds the entries of the columns that rows of several components share, each with
+    its ``root`` and the column's most frequent root ``main``. The columns kept per row are its
+    first in the common order, so behind the counted ones at most ``n - ceil(t n) + 1`` fewer than
+    ``n`` can follow in one of the two. Pairs of long rows are left to :func:`long_pairs`.
+    """
+    possible = _possible(percent)
+    if percent >= PARTED:
+        possible = possible & F.expr(f"least(x.n, y.n) < {LONG}")
+    met = met_rows(mixed, possible)
     counted = met.groupBy(
         F.least("x.rid", "y.rid").alias("a"),
         F.greatest("x.rid", "y.rid").alias("b"),
@@ -250,6 +323,37 @@ def second_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     return counted.filter(bound).select("a", "b")
 
 
+def long_pairs(rows: DataFrame, labels: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs of long rows in different components that agree in one of their parts.
+
+    Long texts share rare shingles with many others, in passages they have in common, and their
+    parities say little; a part holds about ``(100 + p) / (200 - 2 p)`` shingles from all over
+    the text, and all of them must agree.
+    """
+    known = labels.withColumnsRenamed({"rid": "_rid", "root": "_root"})
+    wanted = enrich(rows.filter(F.col("n") >= LONG).select("rid", "_row", "n"), known, {"rid": "_rid"})
+    wanted = stored(wanted.select("rid", "_row", "n", F.coalesce("_root", "rid").alias("root")), "ngram-wanted")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, sets in _sets(batch, "text", width):
+                bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+                row, keys = part_keys(np.concatenate(sets), bounds, percent)
+                columns = [batch.column(c).slice(a, b - a).take(pa.array(row)) for c in ("rid", "n", "root")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(keys.view(np.int64))], names=["rid", "n", "root", "key"]
+                )
+
+    texts = docs.join(narrow(wanted), "_row").select("rid", "n", "root", "text")
+    entries = stored(texts.mapInArrow(cut, "rid bigint, n bigint, root bigint, key bigint"), "ngram-parts")
+    ends = entries.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    shared = stored(ends.filter("lo <> hi").select("key"), "ngram-columns")
+    placed = entries.join(narrow(shared), "key").select("key", F.struct("rid", "n").alias("x"), "root")
+    alike_sizes = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    met = met_rows(mixed_columns(placed), alike_sizes)
+    return _ordered(met, "x.rid", "y.rid").distinct()
+
+
 def linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that are alike, by their overlap over all columns.
 
@@ -365,13 +469,10 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
         placed = enrich(entries.withColumn("rid", F.col("x.rid")), known, {"rid": "_rid"})
         placed = placed.select("key", "band", "x", F.coalesce("_root", "rid").alias("root"))
         placed = stored(placed, "ngram-placed")
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")
-    )
-    mixed = enrich(placed, main, ["key"]).filter("roots > 1")
-    mixed = stored(mixed.select("key", "x", "root", F.col("most.root").alias("main")), "ngram-mixed")
-    more = second_pairs(mixed, percent).join(tried, ["a", "b"], "left_anti")
+    more = second_pairs(mixed_columns(placed), percent)
+    if percent >= PARTED:
+        more = more.union(long_pairs(rows, labels, docs, width, percent))
+    more = more.join(tried, ["a", "b"], "left_anti")
     more = stored(more, "ngram-pairs")
     more_links = linked(more, rows, docs, width, percent)
     roots = merged(labels, stored(more_links, "ngram-links"))

@@ -646,6 +646,39 @@ def test_components_are_those_of_brute_force(stored_docs, width, percent):
     assert {r.doc_id for r in one.collect()} == {root for _, root in want}
 
 
+def test_long_documents_that_share_a_passage_are_not_verified(stored_docs, monkeypatch):
+    chosen = random.Random(23)
+    passage = [f"rare{k}" for k in range(130)]
+    texts = [" ".join([f"w{chosen.randrange(60)}" for _ in range(1100)] + passage) for _ in range(30)]
+    texts += [text + " one more end" for text in texts[:3]] + near_copies(4, 2, 3, 1500)
+    linked, asked = ngram_join.linked, []
+
+    def count(pairs, *others):
+        asked.append(pairs.count())
+        return linked(pairs, *others)
+
+    monkeypatch.setattr(ngram_join, "linked", count)
+    found = ngram_join.alike_documents(stored_docs(texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == dict(enumerate(brute_classes(texts)))
+    # Rounds take a partner for each row; the pairs left are those that agree in a part.
+    assert asked[-1] <= 20
+
+
+def test_sets_alike_share_a_part_key():
+    chosen = np.random.default_rng(1)
+    for _ in range(300):
+        n = int(chosen.integers(10, 400))
+        whole = chosen.integers(0, 2**63, n).astype(np.uint64)
+        gone = int(chosen.integers(0, n // 10 + 1))
+        spare = max(0, (100 * (n - gone) - 90 * n) // 90)
+        other = np.concatenate([whole[gone:], chosen.integers(0, 2**63, spare).astype(np.uint64)])
+        if not gone + spare:
+            continue
+        cut = np.array([0, n, n + len(other)])
+        owner, keys = ngram_join.part_keys(np.concatenate([whole, other]), cut, 90)
+        assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
 # 8 Archives
 
 
